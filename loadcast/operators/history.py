@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import with_calendar
 from ..schema import DEFAULT_COLUMNS, SeriesColumns, require_columns, require_positive
 from .layout import Layout, measure
-from .ordering import BLOCK, OWN, block_rows, cut_into_blocks, series_window, with_halo
+from .ordering import BLOCK, OWN, cut_into_blocks, series_window, with_halo
 
 # The lags, the forecast horizon and the two rolling lengths, in rows.
 LAGS = (24, 48, 168)
@@ -40,8 +40,8 @@ def along_series(
     layout = layout or measure(df, cols.series)
     if not layout.blocked:
         return df.withColumns(build(series_window(cols)))
-    rows = block_rows(df)
-    halo = with_halo(cut_into_blocks(df, cols, rows), lookback, rows)
+    rows = layout.block_rows
+    halo = with_halo(cut_into_blocks(df, rows, cols), lookback, rows)
     built = halo.withColumns(build(series_window(cols, BLOCK))).where(OWN).drop(OWN)
     return built if keep_blocks else built.drop(BLOCK)
 

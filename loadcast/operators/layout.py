@@ -32,6 +32,7 @@ class Layout:
     n_rows: int
     max_rows: int
     rows_per_task: int = DEFAULT_ROWS_PER_TASK
+    block_rows: int = DEFAULT_BLOCK_ROWS
 
     @property
     def blocked(self) -> bool:
@@ -52,7 +53,8 @@ def measure(df: DataFrame, by: str | list[str], rows_per_task: int | None = None
         F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.max("rows"), F.lit(0)).alias("max_rows"),
     ).first()
-    return Layout(found["n_series"], found["n_rows"], found["max_rows"], limit)
+    blocks = setting(df.sparkSession, BLOCK_ROWS_CONF, DEFAULT_BLOCK_ROWS)
+    return Layout(found["n_series"], found["n_rows"], found["max_rows"], limit, blocks)
 
 
 def join_by_series(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..schema import DEFAULT_COLUMNS, SeriesColumns, without
 from ..session import stage
-from .layout import BLOCK_ROWS_CONF, DEFAULT_BLOCK_ROWS, Layout, measure, setting
+from .layout import Layout, measure
 
 BLOCK = "_block"
 ORDINAL = "_ordinal"
@@ -40,11 +40,7 @@ def series_window(cols: SeriesColumns = DEFAULT_COLUMNS, *more: str):
     return Window.partitionBy(cols.series, *more).orderBy(cols.chronological)
 
 
-def block_rows(df: DataFrame) -> int:
-    return setting(df.sparkSession, BLOCK_ROWS_CONF, DEFAULT_BLOCK_ROWS)
-
-
-def cut_into_blocks(df: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS, rows: int | None = None) -> DataFrame:
+def cut_into_blocks(df: DataFrame, rows: int, cols: SeriesColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Number all rows in (series, time) order and cut that order into equal blocks.
 
     Range partitioning spreads one long series over many tasks. Each partition
@@ -52,7 +48,6 @@ def cut_into_blocks(df: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS, rows:
     not depend on a cache surviving. Only the partition sizes reach the driver:
     one number per shuffle partition, whatever the data volume.
     """
-    rows = rows or block_rows(df)
     ranged = df.repartitionByRange(F.col(cols.series), cols.chronological).sortWithinPartitions(
         F.col(cols.series), cols.chronological
     )
@@ -110,7 +105,7 @@ def number_rows(
             }
         )
     if not blocked:
-        df = cut_into_blocks(df, cols).drop(ORDINAL)
+        df = cut_into_blocks(df, layout.block_rows, cols).drop(ORDINAL)
     in_block = (F.row_number().over(series_window(cols, BLOCK)) - 1).cast("bigint")
     staged = stage(df.withColumn("_in_block", in_block), "numbered")
     sizes = staged.groupBy(cols.series, BLOCK).agg(F.count(F.lit(1)).alias("_rows"))

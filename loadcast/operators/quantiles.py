@@ -26,6 +26,7 @@ def group_quantiles(
     hot: bool | None = None,
     name: str = "values",
     also: Sequence[Column] = (),
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """One row per group with the named exact quantiles of ``value``.
 
@@ -37,7 +38,7 @@ def group_quantiles(
     for q in quantiles.values():
         require_between("quantile", q)
     by = list(by)
-    limit = setting(df.sparkSession, ROWS_PER_TASK_CONF, DEFAULT_ROWS_PER_TASK)
+    limit = rows_per_task or setting(df.sparkSession, ROWS_PER_TASK_CONF, DEFAULT_ROWS_PER_TASK)
     if hot is None:
         hot = measure(df.select(*by, F.lit(0).alias("_all")), [*by, "_all"], limit).blocked
     checked = ensure_finite(value.cast("double"), name)
