@@ -308,9 +308,9 @@ ORACLES: dict[str, str] = {
           THEN avg(absolute_error) {OVER} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END, 6) AS rolling_mae_7d
       FROM residuals""",
     "halo_rolling_mae": f"""WITH {LONG_SERIES}
-      SELECT series_id, ts, round(abs(y), 6) AS absolute_error,
+      SELECT series_id, ts, round(abs(y), 9) AS absolute_error,
         round(CASE WHEN count(*) {OVER} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) >= 24
-          THEN avg(abs(y)) {OVER} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END, 6) AS rolling_mae_7d
+          THEN avg(abs(y)) {OVER} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END, 9) AS rolling_mae_7d
       FROM series""",
     "worst_errors": PANEL_FRAME + f""", {RESIDUALS}
       SELECT series_id, ts, y, prediction, residual, absolute_error FROM (

@@ -24,6 +24,7 @@ from loadcast.operators import ranking as rk
 from loadcast.operators import split as sp
 from loadcast.operators.layout import Layout
 from loadcast.plans import (
+    Detection,
     analyze,
     backtest,
     backtest_record,
@@ -32,6 +33,7 @@ from loadcast.plans import (
     comparison_record,
     comparison_table,
     detect,
+    detect_within,
     final_evaluation,
     fold_metrics,
     integrity_status,
@@ -224,9 +226,9 @@ def time_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- anomalies -----------------------------------------------------------------
 
 
-def detection(spark: SparkSession, sf_dir: str):
+def detection(spark: SparkSession, sf_dir: str, staged: bool = False) -> Detection:
     frame, layout = panel_frame(spark, sf_dir)
-    return detect(sp.part(frame, "validation"), sp.part(frame, "test"), layout=layout, calibrated_by="lag_168", scored_by="lag_168")
+    return detect_within(frame, "lag_168", layout=layout, staged=staged)
 
 
 def fit_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,10 +246,7 @@ def panel_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def long_series_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run along one series that holds every row, through the block path."""
     frame = prepare(long_series(spark, sf_dir), layout=FORCED_BLOCKS)
-    found = detect(
-        sp.part(frame, "validation"), sp.part(frame, "test"), layout=FORCED_BLOCKS, calibrated_by="lag_168", scored_by="lag_168"
-    )
-    return rounded(found.anomalies.select(*SCORED))
+    return rounded(detect_within(frame, "lag_168", layout=FORCED_BLOCKS).anomalies.select(*SCORED))
 
 
 def hourly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +263,7 @@ def anomaly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def anomaly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = F.col("severity_counts")
-    summary = detection(spark, sf_dir).summary
+    summary = detection(spark, sf_dir, staged=True).summary
     return rounded(
         summary.select(
             "series_id",
@@ -368,7 +367,8 @@ def rolling_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def halo_rolling_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = long_series(spark, sf_dir).select("series_id", "ts", F.abs("y").alias("absolute_error"))
-    return rounded(hi.rolling_mae(rows, layout=FORCED_BLOCKS))
+    # Two-decimal values: at nine digits no mean lies halfway between two roundings.
+    return rounded(hi.rolling_mae(rows, layout=FORCED_BLOCKS), 9)
 
 
 def worst_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,11 +400,8 @@ def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monitoring_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default window of the view: the last 30 days of the test predictions."""
-    frame, layout = panel_frame(spark, sf_dir)
-    found = detect(
-        sp.part(frame, "validation"), sp.part(frame, "test"), layout=layout, calibrated_by="lag_168", scored_by="lag_168"
-    )
-    view = monitoring_view(naive(sp.part(frame, "test")), found.anomalies, layout=layout)
+    found = detection(spark, sf_dir, staged=True)
+    view = monitoring_view(found.scored, found.anomalies, layout=panel_layout(spark, sf_dir))
     counts, quality = view["counts"], view["quality"]
     return rounded(
         view["metrics"].select(

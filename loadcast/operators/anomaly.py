@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.errors import ensure_finite
@@ -13,6 +13,7 @@ from ..functions.text import iso_timestamp
 from ..schema import (
     DEFAULT_COLUMNS,
     SEVERITY_LEVELS,
+    VALIDATION,
     SeriesColumns,
     require_between,
     require_columns,
@@ -42,9 +43,32 @@ def fit_residual_threshold(
     require_between("quantile", quantile)
     residual = F.abs(F.col(actual) - F.col(predicted))
     fitted = group_quantiles(calibration, by, residual, {"threshold": quantile}, hot=hot, name="residuals")
+    return fitted.select(
+        *by, F.lit(float(quantile)).alias("quantile"), _positive(F.col("threshold")).alias("threshold")
+    )
+
+
+def _positive(threshold: Column) -> Column:
     failure = F.raise_error(F.lit("fitted threshold must be positive.")).cast("double")
-    positive = F.when(F.col("threshold") > 0, F.col("threshold")).otherwise(failure)
-    return fitted.select(*by, F.lit(float(quantile)).alias("quantile"), positive.alias("threshold"))
+    return F.when(threshold <= 0, failure).otherwise(threshold)
+
+
+def with_series_threshold(
+    frame: DataFrame,
+    cols: SeriesColumns = DEFAULT_COLUMNS,
+    predicted: str = "prediction",
+    quantile: float = THRESHOLD_QUANTILE,
+) -> DataFrame:
+    """Add the same threshold as a window column, for series that fit one task.
+
+    Only validation rows enter the quantile.
+    """
+    require_between("quantile", quantile)
+    error = ensure_finite(F.col(cols.target) - F.col(predicted), "residuals")
+    unseen = F.when(F.col("split") == VALIDATION, F.abs(error))
+    fitted = F.percentile(unseen, float(quantile)).over(Window.partitionBy(cols.series))
+    # Two steps, so that the window is evaluated once.
+    return frame.withColumn("threshold", fitted).withColumn("threshold", _positive(F.col("threshold")))
 
 
 def score_columns(actual: Column, predicted: Column, threshold: Column) -> dict[str, Column]:
@@ -65,18 +89,20 @@ def score_columns(actual: Column, predicted: Column, threshold: Column) -> dict[
 
 def score_anomalies(
     predictions: DataFrame,
-    threshold: float | DataFrame,
+    threshold: float | Column | DataFrame,
     cols: SeriesColumns = DEFAULT_COLUMNS,
     predicted: str = "prediction",
     n_series: int | None = None,
 ) -> DataFrame:
-    """Flag and grade every row against a number, or a table of one threshold per series.
+    """Flag and grade every row against a number, a column, or a table of one threshold per series.
 
     Rows of a series without a threshold are kept, with the flag, score and
     severity unknown.
     """
     require_columns(predictions, [cols.time, cols.target, predicted])
-    if not isinstance(threshold, DataFrame):
+    if isinstance(threshold, Column):
+        bound, limit = predictions, threshold
+    elif not isinstance(threshold, DataFrame):
         require_positive("threshold", threshold)
         bound, limit = predictions, F.lit(float(threshold))
     else:

@@ -24,7 +24,7 @@ FEATURE_LOOKBACK = HORIZON + WEEK - 1
 
 def along_series(
     df: DataFrame,
-    build: Callable[[WindowSpec], dict[str, Column]],
+    build: Callable[[WindowSpec], list[dict[str, Column]]],
     lookback: int,
     cols: SeriesColumns = DEFAULT_COLUMNS,
     layout: Layout | None = None,
@@ -32,37 +32,58 @@ def along_series(
 ) -> DataFrame:
     """Evaluate backward-looking expressions over each series in time order.
 
-    ``build`` receives the ordered window and returns the new columns; none may
-    reach back more than ``lookback`` rows. Short series are windowed whole.
-    With a long series present, the blocks of the time axis are windowed instead,
-    each preceded by a copy of the rows its look-back needs.
+    ``build`` receives the ordered window and returns the new columns, in steps
+    where a later step may use an earlier one; none may reach back more than
+    ``lookback`` rows in all. Columns named ``_…`` are dropped at the end. Short
+    series are windowed whole. With a long series present, the blocks of the time
+    axis are windowed instead, each preceded by a copy of the rows its look-back
+    needs. All steps share one shuffle and one sort.
     """
     layout = layout or measure(df, cols.series)
     if not layout.blocked:
-        return df.withColumns(build(series_window(cols)))
+        return _apply(df, build(series_window(cols)))
     rows = layout.block_rows
     halo = with_halo(cut_into_blocks(df, rows, cols), lookback, rows)
-    built = halo.withColumns(build(series_window(cols, BLOCK))).where(OWN).drop(OWN)
+    built = _apply(halo, build(series_window(cols, BLOCK))).where(OWN).drop(OWN)
     return built if keep_blocks else built.drop(BLOCK)
 
 
-def full_window(value: Column, aggregate: Callable[[Column], Column], frame: WindowSpec, rows: int) -> Column:
-    """The aggregate where all ``rows`` values exist, NULL otherwise."""
-    return F.when(F.count(value).over(frame) == rows, aggregate(value).over(frame))
+def _apply(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop(*[name for step in steps for name in step if name.startswith("_")])
 
 
-def history_columns(target: str) -> Callable[[WindowSpec], dict[str, Column]]:
-    def build(w: WindowSpec) -> dict[str, Column]:
+def history_columns(target: str) -> Callable[[WindowSpec], list[dict[str, Column]]]:
+    """Lags, the mean and deviation of the day before the horizon, and the mean of the week.
+
+    Statistics need every value of their window. Spark evaluates a sliding frame
+    afresh for each row, so the week is put together from seven day sums instead
+    of being a frame of 168 rows.
+    """
+
+    def build(w: WindowSpec) -> list[dict[str, Column]]:
         y = F.col(target)
         day = w.rowsBetween(-HORIZON - DAY + 1, -HORIZON)
-        week = w.rowsBetween(-HORIZON - WEEK + 1, -HORIZON)
-        lags = {f"lag_{k}": F.lag(y, k).over(w) for k in LAGS}
-        return {
-            **lags,
-            "rolling_mean_24": full_window(y, F.avg, day, DAY),
-            "rolling_std_24": full_window(y, F.stddev_samp, day, DAY),
-            "rolling_mean_168": full_window(y, F.avg, week, WEEK),
-        }
+        complete, day_sum = F.col("_day_count") == DAY, F.col("_day_sum")
+        sums = [day_sum, *[F.lag(day_sum, DAY * k).over(w) for k in range(1, WEEK // DAY)]]
+        return [
+            {
+                **{f"lag_{k}": F.lag(y, k).over(w) for k in LAGS},
+                "_day_count": F.count(y).over(day),
+                "_sum_24": F.sum(y).over(day),
+                "_std_24": F.stddev_samp(y).over(day),
+            },
+            {
+                "_day_sum": F.when(complete, F.col("_sum_24")),
+                "rolling_std_24": F.when(complete, F.col("_std_24")),
+            },
+            {
+                "rolling_mean_24": day_sum / DAY,
+                # Any missing part makes the whole NULL.
+                "rolling_mean_168": sum(sums[1:], sums[0]) / WEEK,
+            },
+        ]
 
     return build
 
@@ -89,7 +110,7 @@ def seasonal_naive(
     """The value ``lag_rows`` rows earlier, one week by default."""
     require_columns(df, [cols.target], "target column")
     require_positive("lag_hours", lag_rows)
-    return along_series(df, lambda w: {name: F.lag(cols.target, lag_rows).over(w)}, lag_rows, cols, layout)
+    return along_series(df, lambda w: [{name: F.lag(cols.target, lag_rows).over(w)}], lag_rows, cols, layout)
 
 
 def rolling_mae(
@@ -100,11 +121,29 @@ def rolling_mae(
     layout: Layout | None = None,
     name: str = "rolling_mae_7d",
 ) -> DataFrame:
-    """Mean absolute error of the last week, from the first day's worth of rows on."""
-    error = F.col("absolute_error")
+    """Mean absolute error of the last week, from the first day's worth of rows on.
 
-    def build(w: WindowSpec) -> dict[str, Column]:
-        frame = w.rowsBetween(-(window_rows - 1), Window.currentRow)
-        return {name: F.when(F.count(error).over(frame) >= min_rows, F.avg(error).over(frame))}
+    The window is put together from equal shorter ones, as in the features.
+    """
+    require_positive("window_rows", window_rows)
+    error = F.col("absolute_error")
+    length = min((d for d in range(1, window_rows + 1) if window_rows % d == 0), key=lambda d: d + window_rows // d)
+
+    def build(w: WindowSpec) -> list[dict[str, Column]]:
+        frame = w.rowsBetween(-(length - 1), Window.currentRow)
+
+        def whole(part: str) -> Column:
+            parts = [F.lag(part, length * k, 0).over(w) for k in range(1, window_rows // length)]
+            return sum(parts, F.col(part))
+
+        count = F.col("_count")
+        return [
+            {
+                "_part_sum": F.coalesce(F.sum(error).over(frame), F.lit(0.0)),
+                "_part_count": F.count(error).over(frame),
+            },
+            {"_sum": whole("_part_sum"), "_count": whole("_part_count")},
+            {name: F.when(count >= min_rows, F.try_divide(F.col("_sum"), count))},
+        ]
 
     return along_series(predictions, build, window_rows - 1, cols, layout)

@@ -138,7 +138,8 @@ def relative_improvement(
     """
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     base = F.max(F.when(F.col("model") == baseline, F.col("MAPE"))).over(group)
-    return metrics.withColumn(name, F.try_divide(base - F.col("MAPE"), base) * 100)
+    gain = F.try_divide(F.col("_base") - F.col("MAPE"), F.col("_base")) * 100
+    return metrics.withColumn("_base", base).withColumn(name, gain).drop("_base")
 
 
 def time_bounds(df: DataFrame, time: str = "ts", by: Sequence[str] = ()) -> DataFrame:

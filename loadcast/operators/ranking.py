@@ -43,9 +43,16 @@ def worst_errors(
 def most_severe(
     anomalies: DataFrame, k: int | None = None, by: Sequence[str] = (), cols: SeriesColumns = DEFAULT_COLUMNS
 ) -> DataFrame:
-    """Anomalies by falling severity; all of them, or the first ``k``."""
+    """Anomalies by falling severity; all of them, or the first ``k``.
+
+    A full sort samples its input before it sorts. Anomalies are few beside the
+    rows they were picked from, so they are shuffled once first: the sample then
+    reads them instead of scoring every row again.
+    """
     order = [F.desc("severity_score"), F.asc(cols.time)]
-    return anomalies.orderBy(*order) if k is None else top_k(anomalies, k, order, by)
+    if k is None:
+        return anomalies.repartition(*cols.key).orderBy(*order)
+    return top_k(anomalies, k, order, by)
 
 
 def rank_models(table: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from .backtest import backtest, backtest_record, fold_metrics
 from .comparison import compare_models, comparison_record, comparison_table
-from .detection import Detection, calibrate_and_detect, detect
+from .detection import Detection, calibrate_and_detect, detect, detect_within
 from .diagnostics import analyze
 from .final import FinalEvaluation, final_evaluation
 from .integrity import integrity_status
@@ -23,6 +23,7 @@ __all__ = [
     "comparison_record",
     "comparison_table",
     "detect",
+    "detect_within",
     "final_evaluation",
     "fold_metrics",
     "integrity_status",
