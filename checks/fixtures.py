@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.functions import floor_day, floor_hour
+from loadcast.functions import floor_hour
 from loadcast.operators.layout import Layout, measure
 from loadcast.plans import prepare
 
@@ -41,9 +41,13 @@ def hourly_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily quantity shipped per supplier: many series."""
     lineitem = table(spark, sf_dir, "lineitem")
-    return lineitem.groupBy(
-        F.col("l_suppkey").cast("string").alias("series_id"), floor_day(F.col("l_shipdate")).alias("ts")
-    ).agg(F.sum("l_quantity").alias("y"))
+    # Grouped by a number and a date, which hash and shuffle smaller than text and timestamp.
+    daily = lineitem.groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("day")).agg(
+        F.sum("l_quantity").alias("y")
+    )
+    return daily.select(
+        F.col("l_suppkey").cast("string").alias("series_id"), F.col("day").cast("timestamp_ntz").alias("ts"), "y"
+    )
 
 
 def panel_layout(spark: SparkSession, sf_dir: str) -> Layout:
