@@ -552,7 +552,7 @@ def model_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
         CANDIDATE_MODELS[0]: lambda: mo.random_forest(**{**SMALL_FOREST, "numTrees": 5}),
         CANDIDATE_MODELS[1]: lambda: mo.gradient_boosting(**{**SMALL_BOOSTING, "maxIter": 4}),
     }
-    return backtest(staged_frame(spark, sf_dir), estimators=makers).results
+    return backtest(staged_frame(spark, sf_dir), estimators=makers, parallelism=4).results
 
 
 def forest_final_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,9 +43,9 @@ def fit_residual_threshold(
     require_between("quantile", quantile)
     residual = F.abs(F.col(actual) - F.col(predicted))
     fitted = group_quantiles(calibration, by, residual, {"threshold": quantile}, hot=hot, name="residuals")
-    return fitted.select(
-        *by, F.lit(float(quantile)).alias("quantile"), _positive(F.col("threshold")).alias("threshold")
-    )
+    empty = F.raise_error(F.lit("residuals must not be empty.")).cast("double")
+    checked = F.when(F.col("threshold").isNull(), empty).otherwise(_positive(F.col("threshold")))
+    return fitted.select(*by, F.lit(float(quantile)).alias("quantile"), checked.alias("threshold"))
 
 
 def _positive(threshold: Column) -> Column:

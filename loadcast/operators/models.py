@@ -24,6 +24,12 @@ CALENDAR_FOREST = {"numTrees": 100, "maxDepth": 30, "minInstancesPerNode": 1}
 BOOSTING = {"stepSize": 0.08, "maxIter": 300, "maxDepth": 5, "minInstancesPerNode": 20}
 HOLDOUT_FRACTION = 0.1
 
+# Split candidates per feature: a node keeps this many statistics for each feature,
+# so it is the main cost of a deep tree.
+MAX_BINS = 64
+# Boosting goes on while the holdout error falls at all.
+HOLDOUT_TOLERANCE = 1e-5
+
 # Node statistics kept per pass. The default of 256 MB makes a deep forest take
 # several times as many passes over the data.
 NODE_MEMORY_MB = 1024
@@ -38,7 +44,7 @@ def random_forest(
 ) -> Pipeline:
     """The candidate forest. Every split considers all features; candidates are binned."""
     params = {
-        "maxBins": 128,
+        "maxBins": MAX_BINS,
         "featureSubsetStrategy": "all",
         "maxMemoryInMB": NODE_MEMORY_MB,
         "seed": seed,
@@ -58,8 +64,9 @@ def gradient_boosting(
 ) -> Pipeline:
     """The challenger. Boosting stops early on the rows marked as holdout."""
     params = {
-        "maxBins": 128,
+        "maxBins": MAX_BINS,
         "validationIndicatorCol": HOLDOUT,
+        "validationTol": HOLDOUT_TOLERANCE,
         "maxMemoryInMB": NODE_MEMORY_MB,
         "seed": seed,
         **BOOSTING,
@@ -103,6 +110,11 @@ def feature_importance(model: PipelineModel) -> DataFrame:
     return table.orderBy(F.desc("importance"), "feature")
 
 
+def importance_view(table: DataFrame) -> DataFrame:
+    """A stored importance table for display: incomplete rows left out, smallest first."""
+    return table.select("feature", "importance").dropna().orderBy("importance", "feature")
+
+
 def timed_fit(
     estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS
 ) -> tuple[PipelineModel, float]:

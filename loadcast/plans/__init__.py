@@ -8,12 +8,14 @@ from .final import FinalEvaluation, final_evaluation
 from .integrity import integrity_status
 from .monitoring import monitoring_view
 from .prepare import prepare
+from .run import Run
 from .selection import select_model
 from .training import TrainingRun, train_baseline
 
 __all__ = [
     "Detection",
     "FinalEvaluation",
+    "Run",
     "TrainingRun",
     "analyze",
     "backtest",

@@ -105,9 +105,16 @@ def load_predictions(
 
 
 def write_table(
-    df: DataFrame, path: str, format: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    format: str = "parquet",
+    partition_by: Sequence[str] = (),
+    order_by: Sequence[str | Column] = (),
+    mode: str = "overwrite",
 ) -> str:
-    """Write a directory of files, with a header for CSV."""
+    """Write a directory of files, with a header for CSV; ``order_by`` sorts across the files."""
+    if order_by:
+        df = df.orderBy(*order_by)
     writer = df.write.mode(mode).format(format)
     if format == "csv":
         writer = writer.option("header", True)

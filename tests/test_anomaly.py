@@ -62,6 +62,8 @@ def test_bad_quantile(predictions, quantile):
 def test_threshold_must_be_positive_and_inputs_finite(predictions):
     with pytest.raises(PySparkException, match="must be positive"):
         fit_residual_threshold(predictions([1, 2], [1, 2]), hot=False).collect()
+    with pytest.raises(PySparkException, match="must not be empty"):
+        fit_residual_threshold(predictions([], []), hot=False).collect()
     with pytest.raises(PySparkException, match="finite"):
         fit_residual_threshold(predictions([1, float("nan")], [1, 2]), hot=False).collect()
 

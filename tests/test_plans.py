@@ -17,6 +17,7 @@ from loadcast.operators.models import (
     fit_model,
     gradient_boosting,
     holdout_flag,
+    importance_view,
     predict,
     random_forest,
 )
@@ -96,11 +97,14 @@ def test_saved_model_predicts_the_same(spark, frame, trained, tmp_path):
         load_model(spark, str(tmp_path / "none"))
 
 
-def test_importance_sums_to_one_and_falls(trained):
+def test_importance_sums_to_one_and_falls(spark, trained):
     rows = feature_importance(trained.model).collect()
     values = [r["importance"] for r in rows]
     assert sum(values) == pytest.approx(1) and values == sorted(values, reverse=True)
     assert {r["feature"] for r in rows} == set(FEATURE_COLUMNS)
+    gap = feature_importance(trained.model).union(spark.sql("SELECT 'x', CAST(NULL AS DOUBLE)"))
+    shown = [r["importance"] for r in importance_view(gap).collect()]
+    assert len(shown) == 11 and shown == sorted(values)
 
 
 def test_holdout_is_a_fixed_tenth(hourly):
