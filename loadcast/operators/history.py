@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import with_calendar
 from ..schema import DEFAULT_COLUMNS, SeriesColumns, require_columns, require_positive
-from .layout import Layout, measure
+from .layout import Layout, measure, spread
 from .ordering import BLOCK, OWN, cut_into_blocks, series_window, with_halo
 
 # The lags, the forecast horizon and the two rolling lengths, in rows.
@@ -41,9 +41,9 @@ def along_series(
     """
     layout = layout or measure(df, cols.series)
     if not layout.blocked:
-        return _apply(df, build(series_window(cols)))
+        return _apply(spread(df, [cols.series], layout), build(series_window(cols)))
     rows = layout.block_rows
-    halo = with_halo(cut_into_blocks(df, rows, cols), lookback, rows)
+    halo = spread(with_halo(cut_into_blocks(df, rows, cols, layout.tasks), lookback, rows), [cols.series, BLOCK], layout)
     built = _apply(halo, build(series_window(cols, BLOCK))).where(OWN).drop(OWN)
     return built if keep_blocks else built.drop(BLOCK)
 

@@ -8,6 +8,7 @@ made from a count, never guessed.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ BROADCAST_ROWS_CONF = "spark.loadcast.broadcastRows"
 DEFAULT_ROWS_PER_TASK = 2_000_000
 DEFAULT_BLOCK_ROWS = 262_144
 DEFAULT_BROADCAST_ROWS = 250_000
+# Scheduling limit for one stage; beyond it partitions grow instead.
+MAX_TASKS = 100_000
 
 
 def setting(spark: SparkSession, key: str, default: int) -> int:
@@ -38,6 +41,22 @@ class Layout:
     def blocked(self) -> bool:
         return self.max_rows > self.rows_per_task
 
+    @property
+    def tasks(self) -> int:
+        """Partitions that keep a task near ``rows_per_task`` rows; 0 when the size is unknown."""
+        return min(MAX_TASKS, math.ceil(self.n_rows / self.rows_per_task)) if self.rows_per_task else 0
+
+
+def spread(df: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
+    """Shuffle by ``keys`` into enough partitions for the measured rows.
+
+    While the session's partition count suffices, the shuffle is left to Spark,
+    which then merges small partitions at run time.
+    """
+    if layout.tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(layout.tasks, *keys)
+
 
 def measure(df: DataFrame, by: str | list[str], rows_per_task: int | None = None) -> Layout:
     """Count series and rows. One job over the key column only; one row comes back.

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..schema import DEFAULT_COLUMNS, SeriesColumns, without
 from ..session import stage
-from .layout import Layout, measure
+from .layout import Layout, measure, spread
 
 BLOCK = "_block"
 ORDINAL = "_ordinal"
@@ -40,17 +40,20 @@ def series_window(cols: SeriesColumns = DEFAULT_COLUMNS, *more: str):
     return Window.partitionBy(cols.series, *more).orderBy(cols.chronological)
 
 
-def cut_into_blocks(df: DataFrame, rows: int, cols: SeriesColumns = DEFAULT_COLUMNS) -> DataFrame:
+def cut_into_blocks(
+    df: DataFrame, rows: int, cols: SeriesColumns = DEFAULT_COLUMNS, ranges: int = 0
+) -> DataFrame:
     """Number all rows in (series, time) order and cut that order into equal blocks.
 
     Range partitioning spreads one long series over many tasks. Each partition
     is written with its row positions, so the numbering is fixed once and does
-    not depend on a cache surviving. Only the partition sizes reach the driver:
-    one number per shuffle partition, whatever the data volume.
+    not depend on a cache surviving. Only the partition sizes reach the driver,
+    one number per partition. ``ranges`` asks for more partitions than the
+    session's default.
     """
-    ranged = df.repartitionByRange(F.col(cols.series), cols.chronological).sortWithinPartitions(
-        F.col(cols.series), cols.chronological
-    )
+    order = [F.col(cols.series), cols.chronological]
+    more = [ranges] if ranges > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    ranged = df.repartitionByRange(*more, *order).sortWithinPartitions(*order)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     staged = stage(
         ranged.select("*", F.spark_partition_id().alias("_part"), position.alias("_position")), "ordered"
@@ -105,7 +108,9 @@ def number_rows(
             }
         )
     if not blocked:
-        df = cut_into_blocks(df, layout.block_rows, cols).drop(ORDINAL)
+        df = spread(
+            cut_into_blocks(df, layout.block_rows, cols, layout.tasks).drop(ORDINAL), [cols.series, BLOCK], layout
+        )
     in_block = (F.row_number().over(series_window(cols, BLOCK)) - 1).cast("bigint")
     staged = stage(df.withColumn("_in_block", in_block), "numbered")
     sizes = staged.groupBy(cols.series, BLOCK).agg(F.count(F.lit(1)).alias("_rows"))

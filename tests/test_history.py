@@ -152,6 +152,18 @@ def test_block_plan_never_windows_a_whole_series(uneven):
     assert "SinglePartition" not in shown
 
 
+def test_partitions_grow_with_the_measured_rows(uneven):
+    many = Layout(5, 2852, 1, rows_per_task=100)
+    assert many.tasks == 29 and Layout(5, 2852, 2000).tasks == 1 and Layout(1, 10**15, 1).tasks == 100_000
+    short = Layout(5, 2852, 90, rows_per_task=100, block_rows=256)
+    assert plan(forecast_features(uneven, layout=short)).count("29), REPARTITION_BY_NUM") == 1
+    blocks = Layout(5, 2852, 2000, rows_per_task=100, block_rows=256)
+    cut = forecast_features(uneven, layout=blocks)
+    assert plan(cut).count("29), REPARTITION_BY_NUM") == 1
+    whole = forecast_features(uneven, layout=SERIES)
+    pd.testing.assert_frame_equal(table(whole, *whole.columns), table(cut, *whole.columns), rtol=1e-9)
+
+
 def test_series_plan_shuffles_once(uneven):
     shown = plan(prepare(uneven, layout=SERIES))
     assert shown.count("Exchange hashpartitioning") == 1 and shown.count("Sort [") == 1
