@@ -82,7 +82,11 @@ def holdout_flag(cols: SeriesColumns = DEFAULT_COLUMNS, fraction: float = HOLDOU
 
 
 def fit_model(estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS) -> PipelineModel:
-    """Train on all the given rows, over every series. Pass only rows the model may see."""
+    """Train on all the given rows, over every series. Pass only rows the model may see.
+
+    Each partition keeps the statistics of every open tree node, so more
+    partitions than cores cost time and memory; they are merged without a shuffle.
+    """
     assembler, regressor = estimator.getStages()
     features = assembler.getInputCols()
     missing = [c for c in features if c not in rows.columns]
@@ -92,6 +96,7 @@ def fit_model(estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAUL
     if target not in rows.columns:
         raise ValueError(f"Missing target column: {target}")
     wanted = [*features, target]
+    rows = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
     if isinstance(regressor, GBTRegressor):
         return estimator.fit(rows.select(*wanted, holdout_flag(cols).alias(HOLDOUT)))
     return estimator.fit(rows.select(*wanted))

@@ -18,7 +18,6 @@ from ..operators.split import (
     MIN_TRAIN_FRACTION,
     N_FOLDS,
     development,
-    expanding_folds,
     validation_fold,
 )
 from ..schema import (
@@ -27,8 +26,6 @@ from ..schema import (
     RANDOM_FOREST,
     SEASONAL_NAIVE,
     TEST,
-    TRAIN,
-    VALIDATION,
     SeriesColumns,
 )
 from ..session import stage
@@ -135,9 +132,15 @@ def fold_row_counts(
     n_folds: int = N_FOLDS,
     min_train_fraction: float = MIN_TRAIN_FRACTION,
 ) -> DataFrame:
-    """Train and validation rows of every fold."""
-    member = expanding_folds(rows, n_folds, min_train_fraction)
-    return member.groupBy(*by, "fold").agg(
-        F.count_if(F.col("role") == TRAIN).alias("train_rows"),
-        F.count_if(F.col("role") == VALIDATION).alias("validation_rows"),
-    )
+    """Train and validation rows of every fold, counted without copying a row into its folds."""
+    fold = F.col("fold")
+    counts = [
+        F.struct(
+            F.lit(f).alias("fold"),
+            F.count_if(fold.isNull() | (fold < f)).alias("train_rows"),
+            F.count_if(fold == f).alias("validation_rows"),
+        )
+        for f in range(1, n_folds + 1)
+    ]
+    placed = validation_fold(rows, n_folds, min_train_fraction)
+    return placed.groupBy(*by).agg(F.array(*counts).alias("_folds")).select(*by, F.inline("_folds"))

@@ -25,11 +25,11 @@ def record(path: Path) -> dict:
 def test_all_steps(spark, tmp_path):
     hours = np.arange(720)
     load = 1000 + 200 * np.sin(hours / 24 * 2 * np.pi) + np.random.default_rng(0).normal(0, 40, 720)
-    lines = ["Datetime,AEP_MW"]
+    lines = ["Datetime,Load_MW"]
     lines += [f"{dt.datetime(2024, 1, 1) + dt.timedelta(hours=int(h))},{v:.3f}" for h, v in zip(hours, load)]
     source = tmp_path / "demand.csv"
     source.write_text("\n".join(lines))
-    cols = SeriesColumns(time="Datetime", target="AEP_MW")
+    cols = SeriesColumns(time="Datetime", target="Load_MW")
     out = tmp_path / "out"
     run = Run(spark, str(source), str(out), cols, forest=SMALL, boosting=BOOST, parallelism=2)
 
@@ -54,6 +54,6 @@ def test_all_steps(spark, tmp_path):
     summary = record(out / "metrics" / "anomaly_summary")
     assert summary["total_scored_rows"] == 80 and summary["threshold_fit_on_final_test"] is False
     files = sorted((out / "predictions" / "final_test").glob("*.csv"))
-    assert files[0].read_text().startswith("series_id,Datetime,AEP_MW,prediction,residual,absolute_error")
+    assert files[0].read_text().startswith("series_id,Datetime,Load_MW,prediction,residual,absolute_error")
     assert record(out / "metrics" / "validation_diagnostics")["validation_rows"] == 79
     load_model(spark, str(out / "models" / "final"))

@@ -17,7 +17,7 @@ from loadcast.sources import (
     write_table,
 )
 
-ENERGY = SeriesColumns(time="Datetime", target="AEP_MW")
+ENERGY = SeriesColumns(time="Datetime", target="Load_MW")
 
 
 def write(path, *lines):
@@ -28,34 +28,34 @@ def write(path, *lines):
 def test_unsorted_csv_with_a_duplicate_becomes_unique_rows(spark, tmp_path):
     path = write(
         tmp_path / "a.csv",
-        "Datetime,AEP_MW",
+        "Datetime,Load_MW",
         "2024-01-01 02:00:00,120",
         "2024-01-01 01:00:00,100",
         "2024-01-01 01:00:00,100",
     )
     rows = load_series(spark, path, ENERGY).orderBy("Datetime").collect()
-    assert [(r["series_id"], r["Datetime"], r["AEP_MW"]) for r in rows] == [
+    assert [(r["series_id"], r["Datetime"], r["Load_MW"]) for r in rows] == [
         ("all", dt.datetime(2024, 1, 1, 1), 100.0),
         ("all", dt.datetime(2024, 1, 1, 2), 120.0),
     ]
 
 
 def test_columns_are_matched_by_name_and_extras_pass_through(spark, tmp_path):
-    path = write(tmp_path / "a.csv", "note,AEP_MW,Datetime", "x,1,2024-01-01 00:00:00", "y,NaN,2024-01-01 01:00:00")
+    path = write(tmp_path / "a.csv", "note,Load_MW,Datetime", "x,1,2024-01-01 00:00:00", "y,NaN,2024-01-01 01:00:00")
     rows = load_series(spark, path, ENERGY).orderBy("Datetime").collect()
-    assert [(r["note"], r["AEP_MW"]) for r in rows] == [("x", 1.0), ("y", None)]
+    assert [(r["note"], r["Load_MW"]) for r in rows] == [("x", 1.0), ("y", None)]
 
 
 def test_the_smallest_of_differing_duplicates_is_kept(spark, tmp_path):
     path = write(
         tmp_path / "a.csv",
-        "Datetime,AEP_MW,note",
+        "Datetime,Load_MW,note",
         "2024-01-01 00:00:00,,gap",
         "2024-01-01 00:00:00,7,high",
         "2024-01-01 00:00:00,3,low",
     )
     row = load_series(spark, path, ENERGY).first()
-    assert (row["AEP_MW"], row["note"]) == (3.0, "low")
+    assert (row["Load_MW"], row["note"]) == (3.0, "low")
 
 
 def test_missing_file_is_named(spark, tmp_path):
@@ -65,18 +65,18 @@ def test_missing_file_is_named(spark, tmp_path):
 
 def test_missing_columns_are_listed_sorted(spark, tmp_path):
     path = write(tmp_path / "a.csv", "Other,WrongColumn", "1,2")
-    with pytest.raises(ValueError, match=r"Missing required columns: \['AEP_MW', 'Datetime'\]"):
+    with pytest.raises(ValueError, match=r"Missing required columns: \['Datetime', 'Load_MW'\]"):
         load_series(spark, path, ENERGY)
 
 
 def test_a_bad_timestamp_fails_the_load(spark, tmp_path):
-    path = write(tmp_path / "a.csv", "Datetime,AEP_MW", "not a time,1")
+    path = write(tmp_path / "a.csv", "Datetime,Load_MW", "not a time,1")
     with pytest.raises(PySparkException):
         load_series(spark, path, ENERGY).collect()
 
 
 def test_a_given_pattern_is_used(spark, tmp_path):
-    path = write(tmp_path / "a.csv", "Datetime,AEP_MW", "31/12/2023 23:00,5")
+    path = write(tmp_path / "a.csv", "Datetime,Load_MW", "31/12/2023 23:00,5")
     row = load_series(spark, path, ENERGY, pattern="dd/MM/yyyy HH:mm").first()
     assert row["Datetime"] == dt.datetime(2023, 12, 31, 23)
 
