@@ -515,7 +515,7 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(panel_frame(spark, sf_dir)[0], "frame")
+    return prepare(panel(spark, sf_dir), layout=panel_layout(spark, sf_dir), staged=True)
 
 
 def rf_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,11 +81,14 @@ def holdout_flag(cols: SeriesColumns = DEFAULT_COLUMNS, fraction: float = HOLDOU
     return F.pmod(F.xxhash64(*cols.key, F.lit(seed)), F.lit(slots)) < int(slots * fraction)
 
 
-def fit_model(estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS) -> PipelineModel:
+def fit_model(
+    estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS, partitions: int | None = None
+) -> PipelineModel:
     """Train on all the given rows, over every series. Pass only rows the model may see.
 
-    Each partition keeps the statistics of every open tree node, so more
-    partitions than cores cost time and memory; they are merged without a shuffle.
+    Each partition keeps the statistics of every open tree node, so for deep trees
+    many small partitions cost time and memory. ``partitions`` merges them, without
+    a shuffle; about one per core of the cluster is right.
     """
     assembler, regressor = estimator.getStages()
     features = assembler.getInputCols()
@@ -96,7 +99,7 @@ def fit_model(estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAUL
     if target not in rows.columns:
         raise ValueError(f"Missing target column: {target}")
     wanted = [*features, target]
-    rows = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.coalesce(partitions) if partitions else rows
     if isinstance(regressor, GBTRegressor):
         return estimator.fit(rows.select(*wanted, holdout_flag(cols).alias(HOLDOUT)))
     return estimator.fit(rows.select(*wanted))
@@ -121,10 +124,10 @@ def importance_view(table: DataFrame) -> DataFrame:
 
 
 def timed_fit(
-    estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS
+    estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS, partitions: int | None = None
 ) -> tuple[PipelineModel, float]:
     started = time.perf_counter()
-    model = fit_model(estimator, rows, cols)
+    model = fit_model(estimator, rows, cols, partitions)
     return model, time.perf_counter() - started
 
 

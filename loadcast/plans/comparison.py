@@ -22,6 +22,7 @@ from ..schema import (
     VALIDATION,
     SeriesColumns,
 )
+from ..session import stage
 from ..sources.models import save_model
 
 
@@ -98,8 +99,8 @@ def compare_models(
         ],
         "model string, train_seconds double, predict_seconds double",
     )
-    # Three rows: computed once, so the winner and the table agree.
-    table = comparison_table(predictions, (), cols, timings).cache()
+    # Three rows, computed once: the winner and the table agree.
+    table = stage(comparison_table(predictions, (), cols, timings), "comparison")
     winner = table.where("rank = 1").first()["model"]
     if winner == GRADIENT_BOOSTING and challenger_path:
         save_model(boosted, challenger_path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +48,13 @@ def staging_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written table survives the loss of any executor, ends the lineage, and
-    stays columnar, so later readers prune columns and push filters.
+    stays columnar, so later readers prune columns and push filters. With
+    ``partition_by`` a filter on those columns skips whole folders.
     """
     path = os.path.join(staging_dir(df.sparkSession), "loadcast", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -35,7 +35,6 @@ from loadcast.plans import (
     train_baseline,
 )
 from loadcast.schema import CALENDAR_COLUMNS, FEATURE_COLUMNS
-from loadcast.session import stage
 from loadcast.sources import load_model, save_model
 
 SMALL = {"numTrees": 4, "maxDepth": 4, "maxBins": 32}
@@ -49,7 +48,7 @@ def frame(hourly):
     hours = np.arange(791)
     rng = np.random.default_rng(1)
     load = 1000 + 200 * np.sin(hours / 24 * 2 * np.pi) + 80 * np.sin(hours / 168 * 2 * np.pi) + rng.normal(0, 40, 791)
-    return stage(prepare(hourly(load), layout=SHORT), "frame")
+    return prepare(hourly(load), layout=SHORT, staged=True)
 
 
 @pytest.fixture(scope="module")
@@ -57,6 +56,11 @@ def trained(frame):
     return train_baseline(frame, estimator=random_forest(**SMALL))
 
 
+def test_a_part_of_the_staged_frame_reads_its_own_folder(frame):
+    shown = part(frame, "test").select("y")._jdf.queryExecution().executedPlan().toString()
+    assert "split" in shown.split("PartitionFilters: [")[1].split("]")[0] and part(frame, "test").count() == 90
+
+
 def test_frozen_configurations():
     forest = random_forest().getStages()[1]
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (100, 18, 2)
