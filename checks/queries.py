@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from loadcast.operators import ordering as od
 from loadcast.operators import quantiles as qu
 from loadcast.operators import ranking as rk
 from loadcast.operators import split as sp
-from loadcast.operators.layout import Layout
+from loadcast.operators.layout import Layout, measure
 from loadcast.plans import (
     Detection,
     analyze,
@@ -64,15 +65,17 @@ from .fixtures import (
 
 STAND_INS = ["lag_24", "rolling_mean_24"]
 SCORED = ["series_id", "ts", "y", "prediction", "residual", "absolute_residual", "is_anomaly", "severity_score", "direction", "severity"]
-# The long-series queries take the block path whatever the size of the table.
-# Blocks are short enough for a small table to have several.
-FORCED_BLOCKS = Layout(n_series=1, n_rows=0, max_rows=1, rows_per_task=0, block_rows=2048)
-
 # Smaller ensembles than the frozen configuration, so that the check stays short.
 SMALL_FOREST = {"numTrees": 10, "maxDepth": 6, "maxBins": 32}
 SMALL_BOOSTING = {"maxIter": 8, "maxDepth": 4, "maxBins": 32}
 
 
+def long_layout(spark: SparkSession, sf_dir: str) -> Layout:
+    """Measured, but always blocks, and short ones, so that a small table has several."""
+    measured = measure(long_series(spark, sf_dir), "series_id")
+    return replace(measured, always_blocks=True, block_rows=2048)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(staging_dir(spark), "checks", f"{name}-{uuid.uuid4().hex}")
 
@@ -138,11 +141,11 @@ def panel_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def halo_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_output(hi.forecast_features(long_series(spark, sf_dir), layout=FORCED_BLOCKS))
+    return feature_output(hi.forecast_features(long_series(spark, sf_dir), layout=long_layout(spark, sf_dir)))
 
 
 def chronological_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return od.number_rows(long_series(spark, sf_dir), layout=FORCED_BLOCKS)
+    return od.number_rows(long_series(spark, sf_dir), layout=long_layout(spark, sf_dir))
 
 
 def dropna_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +154,7 @@ def dropna_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def halo_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = prepare(long_series(spark, sf_dir), layout=FORCED_BLOCKS)
+    frame = prepare(long_series(spark, sf_dir), layout=long_layout(spark, sf_dir))
     return frame.select("series_id", "ts", "y", "rn", "n_rows", "split")
 
 
@@ -245,8 +248,9 @@ def panel_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_series_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run along one series that holds every row, through the block path."""
-    frame = prepare(long_series(spark, sf_dir), layout=FORCED_BLOCKS)
-    return rounded(detect_within(frame, "lag_168", layout=FORCED_BLOCKS).anomalies.select(*SCORED))
+    layout = long_layout(spark, sf_dir)
+    frame = prepare(long_series(spark, sf_dir), layout=layout)
+    return rounded(detect_within(frame, "lag_168", layout=layout).anomalies.select(*SCORED))
 
 
 def hourly_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +372,7 @@ def rolling_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
 def halo_rolling_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = long_series(spark, sf_dir).select("series_id", "ts", F.abs("y").alias("absolute_error"))
     # Two-decimal values: at nine digits no mean lies halfway between two roundings.
-    return rounded(hi.rolling_mae(rows, layout=FORCED_BLOCKS), 9)
+    return rounded(hi.rolling_mae(rows, layout=long_layout(spark, sf_dir)), 9)
 
 
 def worst_errors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,10 +36,16 @@ class Layout:
     max_rows: int
     rows_per_task: int = DEFAULT_ROWS_PER_TASK
     block_rows: int = DEFAULT_BLOCK_ROWS
+    always_blocks: bool = False
 
     @property
     def blocked(self) -> bool:
-        return self.max_rows > self.rows_per_task
+        return self.always_blocks or self.max_rows > self.rows_per_task
+
+    @property
+    def block_bound(self) -> int | None:
+        """Most (series, block) groups there can be; None when the size is unknown."""
+        return self.n_series + math.ceil(self.n_rows / self.block_rows) if self.n_rows else None
 
     @property
     def tasks(self) -> int:
@@ -77,12 +83,13 @@ def measure(df: DataFrame, by: str | list[str], rows_per_task: int | None = None
 
 
 def join_by_series(
-    rows: DataFrame, table: DataFrame, on: str | list[str], table_rows: int, how: str = "inner"
+    rows: DataFrame, table: DataFrame, on: str | list[str], table_rows: int | None, how: str = "inner"
 ) -> DataFrame:
     """Join a table of at most ``table_rows`` rows to the fact rows.
 
-    Broadcast only while that bound is small. Past it the join is left to
-    adaptive execution, which splits the partitions of hot keys.
+    Broadcast only while that bound is small. Past it, or without a bound, the join
+    is left to adaptive execution, which splits the partitions of hot keys.
     """
     limit = setting(rows.sparkSession, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)
-    return rows.join(F.broadcast(table) if table_rows <= limit else table, on, how)
+    small = table_rows is not None and table_rows <= limit
+    return rows.join(F.broadcast(table) if small else table, on, how)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..schema import DEFAULT_COLUMNS, SeriesColumns, without
 from ..session import stage
-from .layout import Layout, measure, spread
+from .layout import Layout, join_by_series, measure, spread
 
 BLOCK = "_block"
 ORDINAL = "_ordinal"
@@ -98,8 +98,7 @@ def number_rows(
     Takes either plain rows or rows already cut into blocks.
     """
     blocked = BLOCK in df.columns
-    if not blocked:
-        layout = layout or measure(df, cols.series)
+    layout = layout or measure(df, cols.series)
     if not blocked and not layout.blocked:
         return df.withColumns(
             {
@@ -123,10 +122,9 @@ def number_rows(
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_rows").over(blocks).alias("n_rows"),
     )
-    # No hint: (series, block) groups are bounded, so a shuffle join cannot skew,
-    # and Spark broadcasts the offsets by itself while they are small.
+    # A (series, block) group is bounded, so past the broadcast bound the join cannot skew.
     return (
-        staged.join(offsets, [cols.series, BLOCK])
+        join_by_series(staged, offsets, [cols.series, BLOCK], layout.block_bound)
         .withColumn("rn", F.col("_before") + F.col("_in_block"))
         .drop(BLOCK, "_in_block", "_before")
     )

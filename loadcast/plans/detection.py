@@ -81,7 +81,8 @@ def detect_within(
     """
     layout = layout or measure(frame, cols.series)
     if layout.blocked:
-        frame = stage(frame.select(*cols.key, cols.target, predicted, "split"), "predicted")
+        wanted = part(frame, VALIDATION, TEST).select(*cols.key, cols.target, predicted, "split")
+        frame = stage(wanted, "predicted", ["split"])
         return detect(part(frame, VALIDATION), part(frame, TEST), cols, quantile, layout, predicted, predicted, staged)
     limited = with_series_threshold(frame, cols, predicted, quantile)
     if staged:

@@ -153,7 +153,7 @@ def test_alignment(predictions):
 def test_all_ways_to_detect_agree(hourly, spark):
     rng = np.random.default_rng(9)
     rows = hourly(rng.normal(100, 10, 900), "a").union(hourly(rng.normal(50, 20, 700), "b"))
-    short, blocks = Layout(2, 0, 0), Layout(2, 0, 1, rows_per_task=0, block_rows=256)
+    short, blocks = Layout(2, 0, 0), Layout(2, 1600, 900, block_rows=256, always_blocks=True)
     frame = prepare(rows, layout=short)
     within = detect_within(frame, "lag_168", quantile=0.9, layout=short).scored
     joined = detect(

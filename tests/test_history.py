@@ -17,7 +17,7 @@ from loadcast.plans import prepare
 from loadcast.schema import FEATURE_COLUMNS, HISTORY_COLUMNS
 
 SERIES = Layout(n_series=1, n_rows=0, max_rows=0)
-BLOCKS = Layout(n_series=1, n_rows=0, max_rows=1, rows_per_task=0, block_rows=256)
+BLOCKS = Layout(n_series=1, n_rows=0, max_rows=0, block_rows=256, always_blocks=True)
 
 
 def table(df, *columns):
@@ -115,7 +115,7 @@ def uneven(spark):
 
 @pytest.mark.parametrize("block_rows", [192, 256, 1000])
 def test_blocks_give_the_same_frame_as_whole_series(uneven, block_rows):
-    blocks = Layout(5, 0, 1, rows_per_task=0, block_rows=block_rows)
+    blocks = Layout(5, 2852, 2000, block_rows=block_rows, always_blocks=True)
     whole, cut = prepare(uneven, layout=SERIES), prepare(uneven, layout=blocks)
     left, right = table(whole, *whole.columns), table(cut, *whole.columns)
     pd.testing.assert_frame_equal(left, right, rtol=1e-9)
