@@ -31,9 +31,11 @@ def monitoring_view(
     cols: SeriesColumns = DEFAULT_COLUMNS,
     layout: Layout | None = None,
 ) -> dict[str, DataFrame]:
-    """Every table of the view, lazily. Without dates, the last 30 days of the data.
+    """Every table of the view. Without dates, the last 30 days of the data.
 
-    Only the default window needs a job up front: two dates come back.
+    The default window needs a job up front, from which two dates come back. With
+    short series all else is lazy; a long one is ordered, and its quantiles found,
+    when the view is built. Without a layout the chosen window itself is measured.
     """
     predictions = with_errors(predictions, cols)
     if start is None or end is None:
