@@ -56,6 +56,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             # Small local tables: keep one task per core instead of merging to 1 MB.
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+            "spark.driver.extraJavaOptions": os.environ.get("BENCH_JAVA", "-XX:+UseParallelGC"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -84,6 +84,9 @@ def residual_diagnostics(
     relative = F.try_divide(F.abs(error), F.abs(F.col(actual))) * 100
     if hot is None:
         hot = measure(df.select(*by, F.lit(0).alias("_all")), [*by, "_all"]).blocked
+    absolute = {"median_absolute_error": 0.5, "p95_absolute_error": 0.95}
+    # With small groups one pass gives everything, the quantiles of both values included.
+    spread = [] if hot else [F.percentile(F.abs(error), list(absolute.values())).alias("_spread")]
     middle = group_quantiles(
         df,
         by,
@@ -91,6 +94,7 @@ def residual_diagnostics(
         {"median_residual": 0.5},
         hot=hot,
         also=[
+            *spread,
             F.count(F.lit(1)).alias("rows"),
             F.avg(error).alias("mean_residual"),
             F.stddev_samp(error).alias("residual_std"),
@@ -99,10 +103,11 @@ def residual_diagnostics(
             F.avg(relative).alias("mean_absolute_percentage_error"),
         ],
     )
-    spread = group_quantiles(
-        df, by, F.abs(error), {"median_absolute_error": 0.5, "p95_absolute_error": 0.95}, hot=hot
-    )
-    return attach(middle, spread, by).select(
+    if hot:
+        both = attach(middle, group_quantiles(df, by, F.abs(error), absolute, hot=True), by)
+    else:
+        both = middle.withColumns({name: F.col("_spread")[i] for i, name in enumerate(absolute)})
+    return both.select(
         *by,
         "rows",
         "mean_residual",
