@@ -6,7 +6,6 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from loadcast.functions import with_calendar
 from loadcast.operators.history import forecast_features, rolling_mae, seasonal_naive

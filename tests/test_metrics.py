@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import math
 import random
 
