@@ -4,6 +4,9 @@ Words and pairs of words are hashed to a fixed number of buckets. Two multinomia
 buckets are counted: one of a trusted target, one of the raw corpus, both over whole texts and
 all documents. A document's score is the mean of ``log(p_target / p_raw)`` over its n-grams, so
 length does not matter; it is kept when the score reaches a fixed threshold. No sampling.
+
+The target's count of a bucket and the count that the raw corpus lets expect both get
+``PSEUDO_COUNT`` more, so that a bucket with little evidence has a ratio near 1.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from loadcast.llm.expressions import let, long, text_length, words_of
 
 BUCKETS = 1 << 14
 THRESHOLD = -0.05
-SMOOTHING = 1.0
+PSEUDO_COUNT = 20.0
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
@@ -88,12 +91,11 @@ def log_ratios(texts: DataFrame, trusted: Column, buckets: int = BUCKETS) -> Dat
         F.sum("raw").alias("raw"),
         F.sum("target").alias("target"),
     )
-    room = F.lit(SMOOTHING * buckets)
+    # The target's share of the corpus: what it would count if it were like the rest.
+    share = F.coalesce(F.col("target") / F.col("raw"), F.lit(0.0))
     return listed.select(
         F.transform(
-            "all",
-            lambda b: F.log((b.target + SMOOTHING) / (F.col("target") + room))
-            - F.log((b.raw + SMOOTHING) / (F.col("raw") + room)),
+            "all", lambda b: F.log((b.target + PSEUDO_COUNT) / (b.raw * share + PSEUDO_COUNT))
         ).alias("ratios")
     )
 
