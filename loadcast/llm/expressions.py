@@ -29,13 +29,6 @@ def text_length(text: Column) -> Column:
     return F.coalesce(F.char_length(text), F.lit(0)).cast("long")
 
 
-def one_each(kinds: tuple[str, ...], kind: Column) -> Column:
-    """The place of a kind in the list of kinds, for ordering."""
-    return F.array_position(F.array(*(F.lit(k) for k in kinds)), kind)
-
-
-def span_text(spans: Column) -> Column:
-    """``kind:start:end``, comma-joined, of an array of structs in the order of its elements."""
-    return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ","
-    )
+def some_word(text: Column) -> Column:
+    """Whether a text has a character other than ASCII spaces."""
+    return F.rlike(text, F.lit("[^ \\t-\\r]"))
