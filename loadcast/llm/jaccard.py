@@ -62,10 +62,10 @@ def text_sets(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return near_text[new], near[new]
 
 
-def _pack_sets(words: int, buckets: int):
+def _pack_sets(words: int, buckets: int, homes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Packer(_SHINGLE, buckets, SHINGLES)
-        texts = Packer(_TEXT, buckets, TEXTS)
+        texts = Packer(_TEXT, homes, TEXTS)
         for batch in batches:
             ids = np.asarray(batch.column(0))
             for part in split_words(batch.column(1), spaced(fold_case=True)):
@@ -77,7 +77,7 @@ def _pack_sets(words: int, buckets: int):
                 np.cumsum(mix(hashes ^ _SALT), out=total[1, 1:])
                 at = np.searchsorted(text, np.arange(part.count + 1))
                 sums = (total[:, at[1:]] - total[:, at[:-1]]).view(np.int64)
-                place = bucket_of(mix(own.astype(np.uint64)), buckets)
+                place = bucket_of(mix(own.astype(np.uint64)), homes)
                 yield from texts.add(place, own, np.diff(at), sums[0], sums[1])
         yield from shingles.flush()
         yield from texts.flush()
@@ -85,7 +85,7 @@ def _pack_sets(words: int, buckets: int):
     return run
 
 
-def _shared_shingles(buckets: int):
+def _shared_shingles(homes: int):
     """Of the shingles of a bucket, those of two texts or more, sent on to their texts."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -102,8 +102,8 @@ def _shared_shingles(buckets: int):
         hashes, ids, held_by = hashes[keep], ids[keep], held_by[keep]
         order = np.argsort(ids, kind="stable")
         hashes, ids, held_by = hashes[order], ids[order], held_by[order]
-        out = Packer(_SHARED, buckets, SHINGLES)
-        rows = [*out.add(bucket_of(mix(ids.astype(np.uint64)), buckets), hashes, ids, held_by), *out.flush()]
+        out = Packer(_SHARED, homes, SHINGLES)
+        rows = [*out.add(bucket_of(mix(ids.astype(np.uint64)), homes), hashes, ids, held_by), *out.flush()]
         passed = table.filter(pc.equal(table["kind"], TEXTS))
         return pa.concat_tables([passed, pa.Table.from_batches(rows, schema=passed.schema)])
 
@@ -293,7 +293,7 @@ def _group_links(percent: int):
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links between classes of equal sets: enough of them to connect what is connected."""
-    buckets = bucket_count(sets.sparkSession)
+    buckets = bucket_count(sets.sparkSession, 4)
     one_each = sets.where("size > 0").groupBy("size", "sum_a", "sum_b").agg(F.min("id").alias("id"))
     able = sets.where(F.col("shared").isNotNull())
     able = stage(able.join(one_each.select("id"), "id", "left_semi"), "able")
@@ -350,10 +350,11 @@ def jaccard_components(
     are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    buckets = bucket_count(spark)
+    # Shingles are many: small buckets. What is sent back to a text's home is a fraction of them.
+    buckets, homes = bucket_count(spark, 4), bucket_count(spark)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    packed = texts.where("id is not null").mapInArrow(_pack_sets(words, buckets), PACKED)
-    shared = packed.groupBy("bucket").applyInArrow(_shared_shingles(buckets), PACKED)
+    packed = texts.where("id is not null").mapInArrow(_pack_sets(words, buckets, homes), PACKED)
+    shared = packed.groupBy("bucket").applyInArrow(_shared_shingles(homes), PACKED)
     sets = stage(shared.groupBy("bucket").applyInArrow(_ordered_sets(percent), _SET), "sets")
     labels = components(_links(sets, percent)).select(F.col("node").alias("first_id"), "label")
     classes = (

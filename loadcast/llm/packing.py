@@ -17,14 +17,18 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 FLUSH_RECORDS = 1 << 21
-BUCKETS_PER_PARTITION = 4
 PACKED = "bucket int, kind int, packed binary"
 PACKED_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("packed", pa.binary())])
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """Buckets for this session: some for each shuffle partition, so that they even out."""
-    return BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(spark: SparkSession, per_partition: int = 1) -> int:
+    """Buckets for this session, for each shuffle partition as many as given.
+
+    More of them are smaller and even out better. A task that sends records on has a row for
+    each bucket it sends to, so that the product of two numbers of buckets in a row bounds the
+    rows between them: it should stay a small multiple of the blocks of a shuffle.
+    """
+    return per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:

@@ -256,7 +256,7 @@ def remove_repeats(
     if window <= PHRASE_WORDS:
         raise ValueError(f"window must be over {PHRASE_WORDS} words")
     spark = docs.sparkSession
-    buckets = bucket_count(spark)
+    buckets = bucket_count(spark, 2)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     texts = texts.select(F.xxhash64("id", "text").alias("key"), "text", "id")
     anchors = texts.mapInArrow(_pack_anchors(window, buckets), PACKED).groupBy("bucket")
