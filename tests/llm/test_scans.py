@@ -67,7 +67,7 @@ def test_entropy_windows(spark):
         "z" * 60,
         "id 123e4567-e89b-12d3-a456-426614174000 end",
         "Geschwindigkeitsbegrenzungen",
-        "Z" * 30 + mixed + "a" * 30,
+        "Z" * 30 + mixed + "z" * 30,
         f"EXAMPLE{mixed}",
         f"token={mixed}",
     ]
