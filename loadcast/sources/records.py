@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .tables import existing
@@ -18,11 +20,26 @@ def save_record(record: DataFrame, path: str) -> str:
 
 
 def load_record(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Read a record back; give the schema to get maps and nested rows as they were."""
-    reader = spark.read.option("multiLine", False)
+    """Read a record back; give the schema to get maps and nested rows as they were.
+
+    Takes one record per line, and a record (or a list of them) spread over lines with
+    indentation. A record that cannot be parsed and a file without one raise an error.
+    """
+    lines = existing(lambda: spark.read.text(path), "Required artifact", path)
+    text = F.trim("value")
+    whole = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
+    spread = not lines.where((text != "") & ~whole).isEmpty()
+    reader = spark.read.option("multiLine", spread).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
-    return existing(lambda: reader.json(path), "Required artifact", path)
+    record = reader.json(path)
+    try:
+        found = record.take(1)
+    except (PySparkException, Py4JJavaError) as error:
+        raise ValueError(f"Malformed record at: {path}") from error
+    if not found:
+        raise ValueError(f"No record at: {path}")
+    return record
 
 
 def optional_table(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet") -> DataFrame:

@@ -15,7 +15,10 @@ from ..operators.ordering import drop_duplicate_times
 from ..schema import DEFAULT_COLUMNS, SeriesColumns, require_columns
 
 # Texts a CSV reader takes as a missing number.
-MISSING_TEXTS = ["", "NA", "N/A", "n/a", "NaN", "nan", "null", "NULL", "None"]
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 def existing(read: Callable[[], DataFrame], what: str, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.errors import PySparkException
@@ -104,6 +105,22 @@ def test_records_keep_maps_rows_and_nulls(spark, tmp_path):
         load_record(spark, str(tmp_path / "missing_record"))
 
 
+def test_indented_records_and_bad_ones(spark, tmp_path):
+    record = {"model": "forest", "counts": {"high": 1, "low": 2}, "top": [{"score": 1.5}], "n": 3}
+    path = tmp_path / "indented.json"
+    path.write_text(json.dumps(record, indent=4, sort_keys=True))
+    schema = "model string, counts map<string, bigint>, top array<struct<score: double>>, n bigint"
+    found = load_record(spark, str(path), schema).first()
+    assert (found["model"], found["counts"], found["top"][0]["score"], found["n"]) == ("forest", {"high": 1, "low": 2}, 1.5, 3)
+    assert load_record(spark, str(path)).count() == 1
+    path.write_text('{"model": "forest", "n": ')
+    with pytest.raises(ValueError, match="Malformed"):
+        load_record(spark, str(path), schema)
+    path.write_text("")
+    with pytest.raises(ValueError, match="No record"):
+        load_record(spark, str(path), schema)
+
+
 def test_optional_and_required_artifacts(spark, tmp_path):
     empty = optional_table(spark, str(tmp_path / "backtest"), BACKTEST_SCHEMA)
     assert empty.columns == BACKTEST_SCHEMA.names and empty.count() == 0
