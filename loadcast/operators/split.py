@@ -72,11 +72,12 @@ def development_rows(
     return cut_index(n_rows, train_ratio) + cut_index(n_rows, validation_ratio)
 
 
-def _fold_shape(n: Column, n_folds: int, min_train_fraction: float) -> tuple[Column, Column]:
+def _fold_shape(n: Column, n_folds: int, min_train_fraction: float, strict: bool) -> tuple[Column, Column]:
+    """Where the first fold begins and how long a fold is; NULL for a series too short for all folds."""
     first = cut_index(n, min_train_fraction)
     size = F.floor((n - first) / F.lit(n_folds)).cast("bigint")
-    failure = F.raise_error(F.lit("Not enough rows to create backtest folds.")).cast("bigint")
-    return first, F.when(size > 0, size).otherwise(failure)
+    failure = F.raise_error(F.lit("Not enough rows to create the folds")) if strict else F.lit(None)
+    return first, F.when(size > 0, size).otherwise(failure.cast("bigint"))
 
 
 def validation_fold(
@@ -85,15 +86,17 @@ def validation_fold(
     min_train_fraction: float = MIN_TRAIN_FRACTION,
     rn: str = "rn",
     count: str = "n_development",
+    strict: bool = False,
 ) -> DataFrame:
     """Add ``fold``, the one fold a development row validates; NULL in the first training stretch.
 
-    Pure arithmetic on the position: no join, no copies, no shuffle.
+    Pure arithmetic on the position: no join, no copies, no shuffle. A series with too
+    few rows for the folds has none, which ``strict`` turns into a failure of the job.
     """
     require_positive("n_folds", n_folds)
-    first, size = _fold_shape(F.col(count), n_folds, min_train_fraction)
+    first, size = _fold_shape(F.col(count), n_folds, min_train_fraction, strict)
     number = F.least(F.lit(n_folds), F.floor((F.col(rn) - first) / size) + 1).cast("int")
-    return df.withColumn("fold", F.when(F.col(rn) >= first, number))
+    return df.withColumn("fold", F.when(size.isNotNull() & (F.col(rn) >= first), number))
 
 
 def fold_bounds(
@@ -102,12 +105,16 @@ def fold_bounds(
     n_folds: int = N_FOLDS,
     min_train_fraction: float = MIN_TRAIN_FRACTION,
     count: str = "n_development",
+    strict: bool = False,
 ) -> DataFrame:
-    """``(series, fold, train_end, validation_end)`` from one row per series."""
+    """``(series, fold, train_end, validation_end)`` from one row per series.
+
+    A series with too few rows keeps its rows with both ends unknown.
+    """
     require_positive("n_folds", n_folds)
-    first, size = _fold_shape(F.col(count), n_folds, min_train_fraction)
+    first, size = _fold_shape(F.col(count), n_folds, min_train_fraction, strict)
     fold = F.col("fold")
-    end = F.when(fold == n_folds, F.col(count)).otherwise(first + fold * size)
+    end = F.when(size.isNull(), F.lit(None)).when(fold == n_folds, F.col(count)).otherwise(first + fold * size)
     return series.select(
         cols.series, count, F.explode(F.sequence(F.lit(1), F.lit(n_folds))).alias("fold")
     ).select(cols.series, "fold", (first + (fold - 1) * size).alias("train_end"), end.alias("validation_end"))
@@ -119,18 +126,21 @@ def expanding_folds(
     min_train_fraction: float = MIN_TRAIN_FRACTION,
     rn: str = "rn",
     count: str = "n_development",
+    strict: bool = False,
 ) -> DataFrame:
     """Every (row, fold) membership with its ``role``.
 
     A row validates at most one fold and trains all later ones, so its folds are
-    a range worked out from its own position: an explode, not a join.
+    a range worked out from its own position: an explode, not a join. Rows of a series
+    that is too short for the folds are in none; ``strict`` fails instead.
     """
-    placed = validation_fold(df, n_folds, min_train_fraction, rn, count)
+    placed = validation_fold(df, n_folds, min_train_fraction, rn, count, strict)
+    _, size = _fold_shape(F.col(count), n_folds, min_train_fraction, strict)
     validated = F.col("_validated")
     folds = F.sequence(F.coalesce(validated, F.lit(1)), F.lit(n_folds))
     return (
         placed.withColumnRenamed("fold", "_validated")
-        .withColumn("fold", F.explode(folds))
+        .withColumn("fold", F.explode(F.when(size.isNotNull(), folds)))
         .withColumn("role", F.when(F.col("fold") == validated, VALIDATION).otherwise(TRAIN))
         .drop("_validated")
     )

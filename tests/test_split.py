@@ -80,7 +80,18 @@ def test_published_fold_sizes(spark):
 
 def test_too_few_rows_for_folds(hourly):
     with pytest.raises(PySparkException, match="Not enough rows"):
-        validation_fold(folds(hourly, 5)).collect()
+        validation_fold(folds(hourly, 5), strict=True).collect()
+
+
+def test_a_short_series_does_not_stop_the_others(spark, hourly):
+    rows = folds(hourly, 50).unionByName(folds(hourly, 5).withColumn("series_id", F.lit("short")))
+    placed = validation_fold(rows)
+    assert placed.where("series_id = 'short' AND fold IS NULL").count() == rows.where("series_id = 'short'").count()
+    assert placed.where("series_id <> 'short' AND fold IS NOT NULL").count() > 0
+    assert expanding_folds(rows).where("series_id = 'short'").count() == 0
+    bounds = fold_bounds(spark.createDataFrame([("a", 103), ("short", 4)], "series_id string, n_development bigint"))
+    ends = {(r["series_id"], r["validation_end"] is None) for r in bounds.collect()}
+    assert ends == {("a", False), ("short", True)}
 
 
 def test_parts(hourly):
