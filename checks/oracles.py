@@ -173,6 +173,10 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'validation') AS validation_rows,
         count(*) FILTER (split = 'test') AS test_rows, false AS test_set_evaluated, 42::INTEGER AS random_state
       FROM frame""",
+    "record_indented_json": PANEL_FRAME + """
+      SELECT 'RandomForestRegressor' AS model_type, 'y' AS target_column,
+        count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows
+      FROM frame""",
     "calendar_features": f"WITH {HOURLY_BY_TYPE} SELECT series_id, ts, y, {CALENDAR} FROM series",
     "forecast_features": f"WITH {HOURLY}, {FEATURES} {FEATURE_QUERY}",
     "panel_features": f"WITH {PANEL}, {FEATURES} {FEATURE_QUERY}",
@@ -393,7 +397,7 @@ ORACLES: dict[str, str] = {
           AS winner_relative_mape_improvement_percent, false AS test_set_evaluated FROM overall""",
     "near_ties": with_frame(PANEL, FOLDS, FOLD_METRICS) + """
       SELECT series_id, model, round(MAPE_mean, 6) AS MAPE_mean FROM (
-        SELECT *, min(MAPE_mean) OVER (PARTITION BY series_id) AS best FROM summary) WHERE MAPE_mean - best <= 5.0""",
+        SELECT *, min(MAPE_mean) OVER (PARTITION BY series_id) AS best FROM summary) WHERE MAPE_mean - best <= 0.05::DOUBLE""",
     "select_model": with_frame(PANEL, FOLDS, FOLD_METRICS, COMPARED) + """,
       eligible AS (
         SELECT series_id, model, m.MAPE AS validation_mape, s.MAPE_mean, s.MAPE_std,

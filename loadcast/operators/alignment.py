@@ -13,23 +13,18 @@ def alignment(
 ) -> DataFrame:
     """One row of counts comparing both tables by (series, time).
 
-    Keys are counted on each side before the join, so repeated keys neither
-    multiply nor gather. With ``positions`` both tables must carry ``rn``, and a
+    Both sides are counted together, in one aggregation over their keys: nothing is
+    joined, null keys match, and repeated keys neither multiply nor gather. With ``positions`` both tables must carry ``rn``, and a
     key at another position counts as unmatched.
     """
     require_columns(predictions, [cols.time, cols.target, "prediction"], "required columns (Final predictions)")
     keys = [*cols.key, "rn"] if positions else cols.key
 
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-    left, right = counted(predictions, "_saved"), counted(reserved, "_reserved")
-    same = [left[k].eqNullSafe(right[k]) for k in keys]
-    on = same[0]
-    for condition in same[1:]:
-        on = on & condition
-    both = left.join(right, on, "full_outer").select("_saved", "_reserved")
-    saved, expected = F.coalesce("_saved", F.lit(0)), F.coalesce("_reserved", F.lit(0))
+    tagged = predictions.select(*keys, F.lit(1).alias("_saved"), F.lit(0).alias("_reserved")).unionByName(
+        reserved.select(*keys, F.lit(0).alias("_saved"), F.lit(1).alias("_reserved"))
+    )
+    both = tagged.groupBy(*keys).agg(F.sum("_saved").alias("_saved"), F.sum("_reserved").alias("_reserved"))
+    saved, expected = F.col("_saved"), F.col("_reserved")
     total = F.coalesce(F.sum(saved), F.lit(0)), F.coalesce(F.sum(expected), F.lit(0))
     return both.agg(
         total[0].alias("prediction_rows"),

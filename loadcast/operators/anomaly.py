@@ -34,23 +34,52 @@ def fit_residual_threshold(
     actual: str = "y",
     predicted: str = "prediction",
     hot: bool | None = None,
+    strict: bool | None = None,
 ) -> DataFrame:
-    """``(group, quantile, threshold)``: the exact quantile of the absolute residuals.
+    """``(group, quantile, threshold, status)``: the exact quantile of the absolute residuals.
 
-    Give it rows the predicting model has not seen. A threshold that is not
-    positive fails the job.
+    Give it rows the predicting model has not seen. ``strict`` fails the job when a
+    threshold is missing or not positive. Otherwise such a group gets no threshold,
+    and ``status`` says why; the other groups are not affected. By default a single
+    threshold is strict, one per group is not.
     """
+    strict = not by if strict is None else strict
     require_between("quantile", quantile)
     residual = F.abs(F.col(actual) - F.col(predicted))
     fitted = group_quantiles(calibration, by, residual, {"threshold": quantile}, hot=hot, name="residuals")
-    empty = F.raise_error(F.lit("residuals must not be empty.")).cast("double")
-    checked = F.when(F.col("threshold").isNull(), empty).otherwise(_positive(F.col("threshold")))
-    return fitted.select(*by, F.lit(float(quantile)).alias("quantile"), checked.alias("threshold"))
+    empty = F.raise_error(F.lit("the calibration residuals must not be empty")).cast("double")
+    found = F.col("threshold")
+    if strict:
+        checked = F.when(found.isNull(), empty).otherwise(_positive(found, strict))
+    else:
+        checked = _positive(found, strict)
+    return fitted.select(
+        *by, F.lit(float(quantile)).alias("quantile"), checked.alias("threshold"), threshold_status(found).alias("status")
+    )
+
+
+OK, NO_ROWS, NOT_POSITIVE = "ok", "no calibration rows", "not positive"
+
 
+def threshold_status(threshold: Column) -> Column:
+    """Whether a fitted quantile can serve as a threshold."""
+    return F.when(threshold.isNull(), NO_ROWS).when(threshold <= 0, NOT_POSITIVE).otherwise(OK)
 
-def _positive(threshold: Column) -> Column:
-    failure = F.raise_error(F.lit("fitted threshold must be positive.")).cast("double")
-    return F.when(threshold <= 0, failure).otherwise(threshold)
+
+def _positive(threshold: Column, strict: bool) -> Column:
+    failure = F.raise_error(F.lit("the fitted threshold must be positive")) if strict else F.lit(None)
+    return F.when(threshold <= 0, failure.cast("double")).otherwise(threshold)
+
+
+def for_every_series(thresholds: DataFrame, rows: DataFrame, cols: SeriesColumns, quantile: float) -> DataFrame:
+    """The thresholds with a row for each series of ``rows``, also for those without calibration rows."""
+    series = rows.select(cols.series).distinct()
+    return series.join(thresholds, cols.series, "left").select(
+        cols.series,
+        F.lit(float(quantile)).alias("quantile"),
+        "threshold",
+        F.coalesce("status", F.lit(NO_ROWS)).alias("status"),
+    )
 
 
 def with_series_threshold(
@@ -58,8 +87,9 @@ def with_series_threshold(
     cols: SeriesColumns = DEFAULT_COLUMNS,
     predicted: str = "prediction",
     quantile: float = THRESHOLD_QUANTILE,
+    strict: bool = False,
 ) -> DataFrame:
-    """Add the same threshold as a window column, for series that fit one task.
+    """Add the same threshold and status as window columns, for series that fit one task.
 
     Only validation rows enter the quantile.
     """
@@ -68,7 +98,12 @@ def with_series_threshold(
     unseen = F.when(F.col("split") == VALIDATION, F.abs(error))
     fitted = F.percentile(unseen, float(quantile)).over(Window.partitionBy(cols.series))
     # Two steps, so that the window is evaluated once.
-    return frame.withColumn("threshold", fitted).withColumn("threshold", _positive(F.col("threshold")))
+    found = F.col("_fitted")
+    return (
+        frame.withColumn("_fitted", fitted)
+        .withColumns({"threshold": _positive(found, strict), "status": threshold_status(found)})
+        .drop("_fitted")
+    )
 
 
 def score_columns(actual: Column, predicted: Column, threshold: Column) -> dict[str, Column]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -88,19 +87,18 @@ def _by_narrowing(rows: DataFrame, by: list[str], quantiles: dict[str, float], l
     )
     state = stage(
         totals.select(*keys, "_n", "_lo", "_hi", F.explode(F.array(*wanted)).alias("_want")).select(
-            *keys, "_want.*", "_lo", "_hi", F.lit(0).cast("bigint").alias("_before"), F.col("_n").alias("_inside")
+            *keys, "_want.*", "_lo", "_hi", F.lit(0).cast("bigint").alias("_before"), F.col("_n").alias("_inside"),
+            F.lit(None).cast("bigint").alias("_was"),
         ),
         "quantile-ranks",
     )
-    previous = math.inf
     while True:
-        widest = state.where("_lo < _hi").agg(F.max("_inside").alias("rows"), F.count("*").alias("ranks")).first()
-        # No progress means few distinct values remain, which the last step collapses.
-        if widest["rows"] is None or widest["rows"] <= limit or widest["rows"] >= previous:
+        # Each rank goes on until its own interval is small or no longer shrinks.
+        open_ranks = state.where(_open(limit)).count()
+        if not open_ranks:
             break
-        previous = widest["rows"]
-        state = stage(_narrow(rows, state, keys, limit, widest["ranks"]), "quantile-ranks")
-    found = _values_at_ranks(rows, state, keys)
+        state = stage(_narrow(rows, state, keys, limit, open_ranks), "quantile-ranks")
+    found = _values_at_ranks(rows, state, keys, state.count())
     picked = [
         F.max(F.when((F.col("_index") == i) & (F.col("_side") == side), F.col(column))).alias(f"_{side}_{i}{suffix}")
         for i in range(len(quantiles))
@@ -110,13 +108,23 @@ def _by_narrowing(rows: DataFrame, by: list[str], quantiles: dict[str, float], l
     values = []
     for i, label in enumerate(quantiles):
         low, high, fraction = F.col(f"_low_{i}"), F.col(f"_high_{i}"), F.col(f"_low_{i}_fraction")
-        values.append((low + (high - low) * fraction).alias(label))
+        # Weighted as the built-in percentile does it, so that both ways agree to the last bit.
+        between = (1 - fraction) * low + fraction * high
+        values.append(F.when(low == high, low).otherwise(between).alias(label))
     return wide.select(*by, *values)
 
 
+def _open(limit: int) -> Column:
+    """Ranks to narrow further. No progress means that few distinct values are left, and
+    those collapse in the last step.
+    """
+    shrinking = F.col("_was").isNull() | (F.col("_inside") < F.col("_was"))
+    return (F.col("_lo") < F.col("_hi")) & (F.col("_inside") > limit) & shrinking
+
+
 def _narrow(rows: DataFrame, state: DataFrame, keys: list[str], limit: int, ranks: int) -> DataFrame:
     """One round: shrink the interval of every rank whose interval is still too wide."""
-    wide = (F.col("_lo") < F.col("_hi")) & (F.col("_inside") > limit)
+    wide = _open(limit)
     settled, open_ranks = state.where(~wide), state.where(wide)
     interval = [*keys, "_lo", "_hi"]
     # Joined on the group, then cut to the interval; at most two intervals per quantile and group.
@@ -167,16 +175,17 @@ def _narrow(rows: DataFrame, state: DataFrame, keys: list[str], limit: int, rank
             + choose(F.lit(0).cast("bigint"), F.col("_below"), F.col("_below") + F.col("_within"))
         ).alias("_before"),
         choose(F.col("_below"), F.col("_within"), F.col("_above")).alias("_inside"),
+        F.col("_inside").alias("_was"),
     )
     return settled.unionByName(narrowed)
 
 
-def _values_at_ranks(rows: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+def _values_at_ranks(rows: DataFrame, state: DataFrame, keys: list[str], ranks: int) -> DataFrame:
     """Order what is left in each interval, one row per distinct value, and read the ranks off."""
     interval = [*keys, "_lo", "_hi"]
     x = F.col(VALUE)
     distinct = (
-        rows.join(state.select(*interval).distinct(), keys)
+        join_by_series(rows, state.select(*interval).distinct(), keys, ranks)
         .where(x.between(F.col("_lo"), F.col("_hi")))
         .groupBy(*interval, VALUE)
         .agg(F.count(F.lit(1)).alias("_copies"))

@@ -14,6 +14,7 @@ from ..operators.anomaly import (
     anomalies_only,
     anomaly_summary,
     fit_residual_threshold,
+    for_every_series,
     score_anomalies,
     with_series_threshold,
 )
@@ -44,6 +45,8 @@ def detect(
 ) -> Detection:
     """One threshold per series from ``calibration`` rows, applied to ``predictions``.
 
+    Every series of either table has a row in ``thresholds``; without a usable one its
+    rows are kept with the flag unknown.
     The thresholds stay in the plan; none is fetched to the driver. ``staged``
     writes thresholds and scored rows first, for callers that go on to read the
     summary, the anomalies and the scored rows.
@@ -52,6 +55,8 @@ def detect(
     thresholds = fit_residual_threshold(
         calibration, by, quantile, cols.target, calibrated_by, hot=layout.blocked if layout else None
     )
+    both = calibration.select(cols.series).unionByName(predictions.select(cols.series))
+    thresholds = for_every_series(thresholds, both, cols, quantile)
     if staged:
         thresholds = stage(thresholds, "thresholds")
     scored = score_anomalies(predictions, thresholds, cols, scored_by, layout.n_series if layout else None)
@@ -87,10 +92,10 @@ def detect_within(
     limited = with_series_threshold(frame, cols, predicted, quantile)
     if staged:
         limited = stage(
-            part(limited, TEST).select(*cols.key, cols.target, predicted, "split", "threshold"), "limited"
+            part(limited, TEST).select(*cols.key, cols.target, predicted, "split", "threshold", "status"), "limited"
         )
-    thresholds = limited.groupBy(cols.series).agg(
-        F.lit(float(quantile)).alias("quantile"), F.first("threshold").alias("threshold")
+    thresholds = part(limited, VALIDATION, TEST).groupBy(cols.series).agg(
+        F.lit(float(quantile)).alias("quantile"), F.first("threshold").alias("threshold"), F.first("status").alias("status")
     )
     # Scoring is a projection; staged, it is redone per reader rather than written again.
     scored = score_anomalies(part(limited, TEST), F.col("threshold"), cols, predicted)

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import label
+from ..schema import DEFAULT_COLUMNS, SeriesColumns
 
-# What a record that lacks a flag is taken to say.
+# What a record that lacks a flag is taken to say, and the status texts.
 SAFE_DEFAULTS = {
     "calibration_model_training_scope": "train_only",
     "threshold_source": "unseen_validation_residuals",
@@ -18,7 +19,7 @@ SAFE_DEFAULTS = {
 REVIEW, SAFE = "REVIEW REQUIRED", "FROZEN · LEAKAGE SAFE"
 
 
-def integrity_status(record: DataFrame) -> DataFrame:
+def integrity_status(record: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Status texts for each run record."""
 
     def flag(name: str) -> Column:
@@ -26,7 +27,7 @@ def integrity_status(record: DataFrame) -> DataFrame:
         return F.coalesce(F.col(name), default) if name in record.columns else default
 
     seen, fitted = flag("validation_seen_by_calibration_model"), flag("threshold_fit_on_final_test")
-    kept = [c for c in ("series_id",) if c in record.columns]
+    kept = [c for c in (cols.series,) if c in record.columns]
     return record.select(
         *kept,
         F.when(seen | fitted, REVIEW).otherwise(SAFE).alias("status"),

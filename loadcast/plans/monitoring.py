@@ -45,7 +45,8 @@ def monitoring_view(
     shown = in_days(predictions, start, end, cols)
     events = members(members(in_days(anomalies, start, end, cols), "severity", severities), "direction", directions)
     sample = seeded_sample(shown, cols=cols)
-    hot = layout.blocked if layout else None
+    # One group over all series: its size is that of the whole window, not of a series.
+    hot = layout.always_blocks or layout.n_rows > layout.rows_per_task if layout else None
     return {
         "predictions": shown,
         "anomalies": events,
@@ -68,6 +69,7 @@ def monitoring_view(
 
 def top_events(anomalies: DataFrame, k: int = TOP_EVENTS, cols: SeriesColumns = DEFAULT_COLUMNS) -> DataFrame:
     """The gravest events under their display names, rounded."""
+    # The display names.
     shown = {
         cols.time: "Timestamp",
         cols.target: "Actual MW",

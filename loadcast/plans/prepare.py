@@ -31,10 +31,11 @@ def prepare(
     With short series this is one shuffle by series. With a long one the time
     axis is cut into blocks and both passes are staged in the shared folder.
     ``staged=True`` writes the result, one folder per part of the split, for runs
-    that read it many times; blocks are on disk already and are not written again.
+    that read it many times: a reader of one part opens that folder only, and with
+    blocks the offsets are applied once.
     """
     layout = layout or measure(series, cols.series)
     features = forecast_features(series, cols, layout, keep_blocks=True)
     tagged = chronological_split(complete_cases(features, cols), cols, train_ratio, validation_ratio, layout)
     frame = tagged.withColumn("n_development", development_rows(F.col("n_rows"), train_ratio, validation_ratio))
-    return stage(frame, "prepared", ["split"]) if staged and not layout.blocked else frame
+    return stage(frame, "prepared", ["split"]) if staged else frame

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -19,7 +21,7 @@ from loadcast.operators.anomaly import (
     severity_counts,
     severity_mix,
 )
-from loadcast.operators.layout import Layout
+from loadcast.operators.layout import Layout, measure
 from loadcast.operators.ranking import most_severe, seeded_sample, top_k, worst_errors
 from loadcast.plans import detect, detect_within, prepare
 from loadcast.operators.split import part
@@ -68,6 +70,41 @@ def test_threshold_must_be_positive_and_inputs_finite(predictions):
         fit_residual_threshold(predictions([1, float("nan")], [1, 2]), hot=False).collect()
 
 
+def test_a_flat_series_does_not_stop_the_others(spark):
+    rows = spark.createDataFrame(
+        [("flat", 1.0, 1.0)] * 4 + [("a", float(i), 0.0) for i in range(5)], "series_id string, y double, prediction double"
+    )
+    for hot in (False, True):
+        found = {r["series_id"]: r for r in fit_residual_threshold(rows, ["series_id"], 0.75, hot=hot).collect()}
+        assert (found["flat"]["threshold"], found["flat"]["status"]) == (None, "not positive")
+        assert (found["a"]["threshold"], found["a"]["status"]) == (3.0, "ok")
+    with pytest.raises(PySparkException, match="must be positive"):
+        fit_residual_threshold(rows, ["series_id"], 0.75, hot=False, strict=True).collect()
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_layouts_give_one_contract(spark, hourly, staged):
+    """A flat series, one too short to have validation rows, and an ordinary one."""
+    rows = hourly([100 + 10 * math.sin(i) + i % 7 for i in range(400)], "a")
+    rows = rows.unionByName(hourly([5] * 400, "flat")).unionByName(hourly(range(194), "short"))
+    short = measure(rows, "series_id")
+    blocks = replace(short, always_blocks=True, block_rows=256)
+    results = []
+    for layout in (short, blocks):
+        found = detect_within(prepare(rows, layout=layout, staged=staged), "lag_168", layout=layout, staged=staged)
+        results.append(
+            (
+                sorted(map(tuple, found.thresholds.select("series_id", "quantile", "threshold", "status").collect())),
+                sorted(map(tuple, found.scored.select("series_id", "ts", "is_anomaly", "severity").collect()), key=str),
+                sorted(
+                    map(tuple, found.summary.select("series_id", "threshold_quantile", "threshold_mw", "anomaly_count").collect())
+                ),
+            )
+        )
+    assert results[0] == results[1]
+    assert {(t[0], t[3]) for t in results[0][0]} == {("a", "ok"), ("flat", "not positive"), ("short", "no calibration rows")}
+
+
 def test_flags_large_errors_of_both_signs(predictions):
     found = score_anomalies(predictions([100, 150, 50, 105], [100] * 4), 40.0).orderBy("ts").collect()
     assert [r["is_anomaly"] for r in found] == [False, True, True, False]

@@ -169,3 +169,14 @@ def test_group_size_decides_the_path(spark):
     for limit in (10, 1000):
         found = group_quantiles(df, ["g"], F.col("x"), {"q": 0.5}, rows_per_task=limit).orderBy("g").collect()
         assert [r["q"] for r in found] == [24.0, 25.0]
+
+
+def test_narrowing_goes_on_past_a_group_that_is_stuck(spark):
+    """One group has all its mass on two values, the other has many: both are exact and agree with the built-in."""
+    rows = spark.range(6000).selectExpr("'two' AS g", "CAST(id % 2 AS DOUBLE) AS v").unionByName(
+        spark.range(6000).selectExpr("'many' AS g", "CAST(hash(id) AS DOUBLE) / 7 AS v")
+    )
+    wanted = {"p37": 0.37, "p50": 0.5, "p99": 0.99}
+    plain = group_quantiles(rows, ["g"], F.col("v"), wanted, hot=False).orderBy("g").collect()
+    narrowed = group_quantiles(rows, ["g"], F.col("v"), wanted, hot=True, rows_per_task=100).orderBy("g").collect()
+    assert [tuple(r) for r in plain] == [tuple(r) for r in narrowed]
