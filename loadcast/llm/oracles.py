@@ -1,3 +1,112 @@
-"""SQL for the registered queries that SQL can express."""
+"""SQL for the registered queries that SQL can express, as plain as it can be."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"[^\x20\x09-\x0D]+"
+_PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(table: str, key: str, text: str, pattern: str) -> str:
+    return f"SELECT {key}, coalesce(regexp_extract_all({text}, '{pattern}'), []) AS w FROM {table}"
+
+
+CONTAMINATION = f"""
+WITH docs AS ({_words("documents", "doc_id", _LOWER, _PLAIN)}),
+items AS ({_words("benchmark", "item_id", _LOWER, _PLAIN)}),
+windows AS (
+  SELECT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS passage
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS passage
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows))),
+hits AS (SELECT doc_id, item_id, places.n, i FROM places JOIN windows USING (passage, n)),
+covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY 1),
+found AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+JACCARD = f"""
+WITH RECURSIVE docs AS ({_words("documents", "doc_id", _LOWER, _SPACED)}),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 85 * (x.n + y.n - common)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) USING (doc_id)"""
+
+LINES = r"""
+WITH rows_ AS (
+  SELECT doc_id, source, i, l[i] AS line
+  FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i
+        FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+boilerplate AS (
+  SELECT line FROM rows_ WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1 HAVING count(DISTINCT source) >= 10),
+kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+  FROM (SELECT *, line IN (SELECT line FROM boilerplate) AS gone FROM rows_) GROUP BY 1)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  length(kept.text) AS kept_chars, sha256(kept.text) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)"""
+
+MIXING = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, coalesce('s' || source, 'n') AS k, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS d FROM documents),
+ranked AS (SELECT doc_id, source, k, row_number() OVER (PARTITION BY k ORDER BY d, doc_id) - 1 AS r FROM docs),
+sources AS (SELECT k, count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS w FROM docs GROUP BY 1),
+totals AS (SELECT greatest(240, 8 * count(*)) AS period, count(*) AS c, CAST(sum(w) AS BIGINT) AS total FROM sources),
+shares AS (
+  SELECT k, n, period, c, ((period - c) * w) // total AS whole, ((period - c) * w) % total AS rest FROM sources, totals),
+quotas AS (
+  SELECT k, n, period, row_number() OVER (ORDER BY k) - 1 AS i,
+    1 + whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, k) <= period - c - sum(whole) OVER () THEN 1 ELSE 0 END AS quota
+  FROM shares),
+lists AS (SELECT list(CAST(quota AS BIGINT) ORDER BY i) AS q, any_value(period) AS period FROM quotas),
+slots AS (
+  SELECT CAST(0 AS BIGINT) AS t, CAST(-1 AS BIGINT) AS pick, list_transform(q, lambda x: CAST(0 AS BIGINT)) AS done, q, period FROM lists
+  UNION ALL
+  SELECT t + 1, pick_now, list_transform(done, lambda x, j: x + CASE WHEN j - 1 = pick_now THEN 1 ELSE 0 END), q, period
+  FROM (
+    SELECT *, list_min(list_filter(list_transform(range(len(q)), lambda i:
+        CASE WHEN done[i + 1] < q[i + 1] AND (done[i + 1] * period) // q[i + 1] <= t
+        THEN (((done[i + 1] + 1) * period + q[i + 1] - 1) // q[i + 1]) * 1000000 + i END), lambda x: x IS NOT NULL)) % 1000000 AS pick_now
+    FROM slots WHERE t < period)),
+turns AS (SELECT pick AS i, t - 1 AS pos, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn FROM slots WHERE t > 0),
+plan AS (SELECT k, n, period, quota, turn, pos FROM quotas JOIN turns USING (i)),
+ends AS (SELECT min((((n + 15) // 16) // quota) * period + pos) AS runs_out FROM plan WHERE turn = ((n + 15) // 16) % quota)
+SELECT doc_id, source, r // 16 AS block, CAST(((r // 16) // quota) * period + pos AS BIGINT) AS slot, r % 16 AS in_block,
+  ((r // 16) // quota) * period + pos < runs_out AS on_target
+FROM ranked JOIN plan ON plan.k = ranked.k AND turn = (r // 16) % quota, ends"""
+
+REPEATS = f"""
+WITH docs AS ({_words("documents", "doc_id", "text", _SPACED)}),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS passage
+  FROM (SELECT *, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)),
+repeated AS (SELECT passage FROM windows GROUP BY 1 HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS k FROM windows JOIN repeated USING (passage)),
+each AS (SELECT doc_id, k, w[k] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM docs)),
+kept AS (
+  SELECT doc_id, count(gone.k) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY k) FILTER (gone.k IS NULL), '') AS text
+  FROM each LEFT JOIN gone USING (doc_id, k) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
+ORACLES: dict[str, str] = {
+    "op2_decontamination": CONTAMINATION,
+    "op6_jaccard_join": JACCARD,
+    "op8_line_dedup": LINES,
+    "op9_pfair_mixing": MIXING,
+    "op10_substring_dedup": REPEATS,
+}
