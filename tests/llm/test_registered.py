@@ -38,7 +38,7 @@ def test_every_operator_is_registered_once():
 
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
-    """Documents of twelve sources with toxic ones, boilerplate, near copies and a benchmark passage."""
+    """Documents of sixteen sources with toxic ones, boilerplate, near copies and a benchmark passage."""
     rng = random.Random(11)
     vocabulary = [f"word{i}" for i in range(500)]
 
@@ -62,8 +62,8 @@ def tables(spark, tmp_path_factory):
             own = rows[i - 200][1].split("\n")[1] + " changed"
             copies[i] = i - 200
         labels.append((i, int(i in toxic)))
-        rows.append((i, f"Shared header of all sites\n{own}\n", "en", f"src{i % 12}", 0))
-    rows.append((None, "no id here", None, None, None))
+        rows.append((i, f"Shared header of all sites\n{own}\n", "en", f"src{i % 16}", 0))
+    rows.append((None, text(40), None, None, None))
     rows.append((601, None, "en", "src1", 0))
     folder = tmp_path_factory.mktemp("tables")
     schema = "doc_id long, text string, lang string, source string, n_chars long"
