@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from loadcast.operators.ranking import SAMPLE_ROWS, SAMPLE_SEED
+
 HOURLY = """
 series AS (
   SELECT 'all' AS series_id, date_trunc('hour', ts) AS ts, round(sum(value), 2) AS y
@@ -173,6 +175,9 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'validation') AS validation_rows,
         count(*) FILTER (split = 'test') AS test_rows, false AS test_set_evaluated, 42::INTEGER AS random_state
       FROM frame""",
+    "seeded_sample": PANEL_FRAME + f"""
+      SELECT series_id, ts, y, lag_168 AS prediction FROM frame WHERE split = 'test'
+      ORDER BY md5(concat_ws('|', series_id, CAST(ts AS VARCHAR), '{SAMPLE_SEED}')), series_id, ts LIMIT {SAMPLE_ROWS}""",
     "record_indented_json": PANEL_FRAME + """
       SELECT 'RandomForestRegressor' AS model_type, 'y' AS target_column,
         count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows

@@ -73,5 +73,6 @@ def near_best(
 def seeded_sample(
     df: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED, cols: SeriesColumns = DEFAULT_COLUMNS
 ) -> DataFrame:
-    """At most ``n`` rows, the same ones however the table is partitioned."""
-    return df.orderBy(F.xxhash64(cols.series, cols.time, F.lit(seed)), *cols.key).limit(n)
+    """At most ``n`` rows, the same ones however the table is partitioned, and in any engine that has MD5."""
+    drawn = F.md5(F.concat_ws("|", cols.series, F.col(cols.time).cast("string"), F.lit(seed)).cast("binary"))
+    return df.orderBy(drawn, *cols.key).limit(n)
