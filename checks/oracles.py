@@ -178,6 +178,12 @@ ORACLES: dict[str, str] = {
     "seeded_sample": PANEL_FRAME + f"""
       SELECT series_id, ts, y, lag_168 AS prediction FROM frame WHERE split = 'test'
       ORDER BY md5(concat_ws('|', series_id, CAST(ts AS VARCHAR), '{SAMPLE_SEED}')), series_id, ts LIMIT {SAMPLE_ROWS}""",
+    "load_csv": """
+      SELECT o_orderstatus, o_orderdate, min(CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END) AS o_totalprice
+      FROM orders GROUP BY 1, 2""",
+    "forest_bounds": PANEL_FRAME + "SELECT series_id, ts, y, true AS within FROM frame WHERE split = 'test'",
+    "boosting_keys": PANEL_FRAME + "SELECT series_id, ts, y, true AS finite FROM frame WHERE split = 'test'",
+    "importance_total": "SELECT 11::BIGINT AS features, 1.0::DOUBLE AS total, 0::BIGINT AS negative FROM (SELECT 1 FROM lineitem LIMIT 1)",
     "record_indented_json": PANEL_FRAME + """
       SELECT 'RandomForestRegressor' AS model_type, 'y' AS target_column,
         count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows

@@ -89,6 +89,18 @@ def load_series_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV file with repeated times, in no order, and rows without a target."""
+    cols = SeriesColumns("o_orderstatus", "o_orderdate", "o_totalprice")
+    price = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderstatus", F.col("o_orderdate").cast("string").alias("o_orderdate"), price.alias("o_totalprice")
+    )
+    path = scratch(spark, "csv")
+    rows.unionByName(rows).repartition(3).write.option("header", True).csv(path)
+    return load_series(spark, path, cols).select("o_orderstatus", "o_orderdate", "o_totalprice")
+
+
 def load_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     rows = events.select(
@@ -536,6 +548,30 @@ def rf_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mo.predict(model, sp.part(frame, "test")).select("series_id", "ts", "y", "prediction")
 
 
+def forest_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can know of a forest: which rows it scores, and that a mean of targets stays among them."""
+    frame = staged_frame(spark, sf_dir)
+    train = sp.part(frame, "train")
+    scored = mo.predict(mo.fit_model(mo.random_forest(**SMALL_FOREST), train), sp.part(frame, "test"))
+    low, high = (train.select(f("y").alias("bound")).scalar() for f in (F.min, F.max))
+    return scored.select("series_id", "ts", "y", F.col("prediction").between(low, high).alias("within"))
+
+
+def boosting_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that boosting scores, each with a finite number."""
+    scored = gbt_forecast(spark, sf_dir)
+    return scored.select("series_id", "ts", "y", fn.is_finite(F.col("prediction")).alias("finite"))
+
+
+def importance_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances are shares of one over all features."""
+    return feature_importance(spark, sf_dir).agg(
+        F.count("*").alias("features"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+    )
+
+
 def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = staged_frame(spark, sf_dir)
     model = mo.fit_model(mo.gradient_boosting(), sp.part(frame, "train"))
@@ -585,6 +621,7 @@ def forest_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_series": load_series_file,
+    "load_csv": load_csv,
     "load_dedup": load_dedup,
     "predictions_round_trip": predictions_round_trip,
     "run_record_round_trip": run_record_round_trip,
@@ -646,6 +683,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "select_model": model_selection,
     "rf_forecast": rf_forecast,
     "gbt_forecast": gbt_forecast,
+    "forest_bounds": forest_bounds,
+    "boosting_keys": boosting_keys,
+    "importance_total": importance_total,
     "calendar_forest": calendar_forest,
     "feature_importance": feature_importance,
     "model_comparison": model_comparison,
