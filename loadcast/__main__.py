@@ -6,7 +6,7 @@ import argparse
 
 from .plans.run import STEPS, Run
 from .schema import SeriesColumns
-from .session import build_session
+from .session import build_session, owned_staging
 
 
 def main() -> None:
@@ -24,8 +24,10 @@ def main() -> None:
     if unknown:
         parser.error(f"unknown steps: {unknown}")
     cols = SeriesColumns(given.series, given.time, given.target)
-    run = Run(build_session(), given.source, given.output, cols, given.format, parallelism=given.parallelism)
-    run.steps(given.steps)
+    spark = build_session()
+    run = Run(spark, given.source, given.output, cols, given.format, parallelism=given.parallelism)
+    with owned_staging(spark):
+        run.steps(given.steps)
 
 
 if __name__ == "__main__":

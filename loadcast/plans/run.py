@@ -59,7 +59,9 @@ class Run:
 
     @cached_property
     def layout(self) -> Layout:
-        return measure(self.series, self.cols.series)
+        # Before duplicates go: an upper bound, without the shuffle that removes them.
+        raw = load_series(self.spark, self.source, self.cols, self.format, unique=True)
+        return measure(raw, self.cols.series)
 
     @cached_property
     def frame(self) -> DataFrame:

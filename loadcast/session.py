@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_OWNED: ContextVar[str | None] = ContextVar("owned_staging", default=None)
 
 
 def build_session(app_name: str = "loadcast", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,6 +51,22 @@ def staging_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def owned_staging(spark: SparkSession) -> Iterator[str]:
+    """Stage into a folder of this block's own and delete it at the end of the block.
+
+    For callers that write their results inside the block: nothing staged outlives it.
+    """
+    folder = os.path.join(staging_dir(spark), "loadcast", f"run-{uuid.uuid4().hex}")
+    token = _OWNED.set(folder)
+    try:
+        yield folder
+    finally:
+        _OWNED.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -55,6 +74,7 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     stays columnar, so later readers prune columns and push filters. With
     ``partition_by`` a filter on those columns skips whole folders.
     """
-    path = os.path.join(staging_dir(df.sparkSession), "loadcast", f"{label}-{uuid.uuid4().hex}")
+    folder = _OWNED.get() or os.path.join(staging_dir(df.sparkSession), "loadcast")
+    path = os.path.join(folder, f"{label}-{uuid.uuid4().hex}")
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -11,6 +11,7 @@ import pytest
 
 from loadcast.plans import Run
 from loadcast.schema import SeriesColumns
+from loadcast.session import owned_staging, stage
 from loadcast.sources import load_model
 
 SMALL = {"numTrees": 3, "maxDepth": 4, "maxBins": 32}
@@ -57,3 +58,11 @@ def test_all_steps(spark, tmp_path):
     assert files[0].read_text().startswith("series_id,Datetime,Load_MW,prediction,residual,absolute_error")
     assert record(out / "metrics" / "validation_diagnostics")["validation_rows"] == 79
     load_model(spark, str(out / "models" / "final"))
+
+
+def test_staged_tables_go_with_their_owner(spark):
+    with owned_staging(spark) as folder:
+        assert stage(spark.range(3), "three").count() == 3
+        assert len(list(Path(folder).iterdir())) == 1
+    assert not Path(folder).exists()
+    assert stage(spark.range(2), "two").count() == 2
