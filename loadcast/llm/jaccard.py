@@ -357,12 +357,15 @@ def jaccard_components(
     shared = packed.groupBy("bucket").applyInArrow(_shared_shingles(homes), PACKED)
     sets = stage(shared.groupBy("bucket").applyInArrow(_ordered_sets(percent), _SET), "sets")
     labels = components(_links(sets, percent)).select(F.col("node").alias("first_id"), "label")
-    classes = (
+    # Written first: then the last join is of two plain shuffles, and Spark can split a class with
+    # a large part of all texts.
+    classes = stage(
         sets.where("size > 0")
         .groupBy("size", "sum_a", "sum_b")
         .agg(F.min("id").alias("first_id"))
         .join(labels, "first_id", "left")
-        .select("size", "sum_a", "sum_b", F.coalesce("label", "first_id").alias("component_id"))
+        .select("size", "sum_a", "sum_b", F.coalesce("label", "first_id").alias("component_id")),
+        "classes",
     )
     return sets.join(classes, ["size", "sum_a", "sum_b"], "left").select(
         F.col("id").alias(id_column),
