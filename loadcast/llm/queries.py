@@ -11,7 +11,7 @@ from loadcast.llm.decontam import contamination
 from loadcast.llm.jaccard import jaccard_components
 from loadcast.llm.language import language
 from loadcast.llm.lines import line_dedup
-from loadcast.llm.mixing import mix
+from loadcast.llm.mixing import PERIOD, mix
 from loadcast.llm.phrases import remove_repeats
 from loadcast.llm.pii import personal_data
 from loadcast.llm.quality import quality
@@ -68,7 +68,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    """Quotas of one period, as its SQL rounds them; the pipeline schedules the exact weights."""
+    return mix(table(spark, sf_dir, "documents"), period=PERIOD)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

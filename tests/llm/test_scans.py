@@ -246,5 +246,33 @@ def test_mixing_deviates_by_less_than_a_block(spark, weights):
         assert blocks == list(range(len(blocks)))
 
 
+@pytest.mark.parametrize(
+    ("sizes", "weights"),
+    [
+        ({"big": 3333, **{f"s{i}": 351 for i in range(19)}}, None),
+        ({"a": 4000, "b": 8}, {"a": 999, "b": 1}),
+        ({"a": 500, "b": 300, "c": 200, None: 40}, {"a": 500, "b": 300, "c": 7}),
+        ({"a": 90, "b": 30}, {"a": 6_000_000, "b": 2_000_000}),
+    ],
+)
+def test_mixing_follows_the_weights_themselves(spark, sizes, weights):
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    got = mix(spark.createDataFrame(rows, "doc_id long, source string"), weights=weights, block_docs=4).collect()
+    assert sorted((r.doc_id, r.source) for r in got if r.source) == sorted(r for r in rows if r[1])
+    slots = {}
+    for r in got:
+        assert slots.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
+    share = {s: weights.get(s, 1) if weights else math.isqrt(n - 1) + 1 for s, n in sizes.items()}
+    total = sum(share.values())
+    for t, (source, block) in slots.items():
+        assert block * total // share[source] <= t < -(-(block + 1) * total // share[source])
+    last = max(r.slot for r in got if r.on_target)
+    done = collections.Counter()
+    for t in range(last + 1):
+        done[slots[t][0]] += 1
+        assert all(abs(done[s] * total - (t + 1) * w) < total for s, w in share.items())
+    assert any(done[s] == -(-n // 4) for s, n in sizes.items())
+
+
 def test_mixing_an_empty_table(spark):
     assert mix(spark.createDataFrame([], "doc_id long, source string")).count() == 0
