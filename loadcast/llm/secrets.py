@@ -5,8 +5,8 @@ window of ``WINDOW`` characters. The counts of the window's characters are kept
 character enters, one leaves, and the entropy changes by the two terms concerned, so a step
 costs the same for any window. A window is suspicious if its Shannon entropy, in bits per
 character, reaches the threshold of the candidate's character class. Overlapping suspicious
-windows are one span. Candidates on the allow list, and spans that touch a known form, are
-suppressed. All of it is column expressions.
+windows are one span. Windows that touch a segment on the allow list, and spans that touch a
+known form, are suppressed. All of it is column expressions.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.expressions import let
+from loadcast.llm.expressions import let, long
 from loadcast.llm.spans import in_order, matches, of_kind, written
 
 ASSIGN = "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -40,19 +40,26 @@ class CharacterClass:
 
 # From narrow to wide: a candidate belongs to the first class that holds all of it.
 CLASSES = (
-    CharacterClass("digits", "^[0-9]+$", 9.9),
+    CharacterClass("digits", "^[0-9]+$", 2.7),
     CharacterClass("lower hex", "^[0-9a-f]+$", 3.0),
     CharacterClass("upper hex", "^[0-9A-F]+$", 3.0),
-    CharacterClass("one case", "^([a-z]+|[A-Z][a-z]*|[A-Z]+)$", 9.9),
+    CharacterClass("one case", "^([a-z]+|[A-Z][a-z]*|[A-Z]+)$", 3.7),
     CharacterClass("alphanumeric", "^[A-Za-z0-9]+$", 3.7),
     CharacterClass("base 64", "^[A-Za-z0-9+/_-]+$", 3.9),
 )
+# A segment, between two separators, is suppressed if one of these is in it.
 ALLOWED = (
-    "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
     "(?i)example|placeholder|sample|dummy",
     "(?i)abcdefghijklmnop|0123456789abcdef",
-    "^[A-Za-z]+([_/+-][A-Za-z]+)+$",
+    "0123456789|1234567890",
 )
+ALLOWED_ID = "(?<![A-Za-z0-9])[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![A-Za-z0-9])"
+# Of words joined by separators only those as long as a window are scanned, each by itself.
+JOINED_WORDS = "^[A-Za-z]+([_/+-][A-Za-z]+)+$"
+LONG_WORD = f"[A-Za-z]{{{WINDOW},}}"
+SEGMENT = "[A-Za-z0-9]+|[+/_-]+"
+# What is left of a candidate, without the separators at its ends.
+PIECE = f"[A-Za-z0-9][A-Za-z0-9+/_-]{{{WINDOW - 2},}}[A-Za-z0-9]"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 
 
@@ -124,22 +131,57 @@ def _extend(got: Column, i: Column, window: int) -> Column:
     return F.when((n > 0) & (last.end >= first), joined).otherwise(apart)
 
 
+def _moved(spans: Column, by: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct((by + s.start).alias("start"), (by + s.end).alias("end")))
+
+
+def scanned_pieces(value: Column) -> Column:
+    """What the allow list leaves of a candidate, as spans with their places in it."""
+
+    def allowed(x: Column) -> Column:
+        out = F.lit(False)
+        for pattern in ALLOWED:
+            out = out | x.rlike(pattern)
+        return out
+
+    def blank(segments: Column) -> Column:
+        return F.array_join(
+            F.transform(segments, lambda s: F.when(allowed(s), F.repeat(F.lit(" "), F.char_length(s))).otherwise(s)), ""
+        )
+
+    parts = F.regexp_extract_all(value, F.lit(SEGMENT), F.lit(0))
+    left = F.when(allowed(value), blank(parts)).otherwise(value)
+    left = F.regexp_replace(left, ALLOWED_ID, " " * 36)
+    whole = F.array(F.struct(long(0).alias("start"), F.char_length(value).cast("long").alias("end"), value.alias("value")))
+
+    def words_apart(p: Column) -> Column:
+        words = F.transform(
+            matches(p.value, LONG_WORD),
+            lambda w: F.struct((p.start + w.start).alias("start"), (p.start + w.end).alias("end"), w.value.alias("value")),
+        )
+        return F.when(p.value.rlike(JOINED_WORDS), words).otherwise(F.array(p))
+
+    def pieces(x: Column) -> Column:
+        return F.when(x == value, whole).otherwise(matches(x, PIECE))
+
+    return F.flatten(F.transform(let(left, pieces), words_apart))
+
+
 def entropy_spans(text: Column, window: int = WINDOW) -> Column:
     """Spans of suspicious windows over the candidates of a text."""
 
-    def of_candidate(c: Column) -> Column:
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def of_piece(c: Column) -> Column:
         bits = F.lit(None).cast("double")
         for kind in reversed(CLASSES):
             bits = F.when(c.value.rlike(kind.pattern), F.lit(kind.bits)).otherwise(bits)
-        allowed = F.lit(False)
-        for pattern in ALLOWED:
-            allowed = allowed | c.value.rlike(pattern)
-        none = F.array().cast("array<struct<start:int,end:int>>")
-        found = F.when(~allowed & (bits <= F.log2(F.lit(float(window)))), suspicious_windows(c.value, bits, window))
-        return F.transform(
-            F.coalesce(found, none),
-            lambda s: F.struct((c.start + s.start).alias("start"), (c.start + s.end).alias("end")),
-        )
+        found = F.when(bits <= F.log2(F.lit(float(window))), suspicious_windows(c.value, bits, window))
+        return _moved(F.coalesce(found, none), c.start)
+
+    def of_candidate(c: Column) -> Column:
+        spans = F.transform(scanned_pieces(c.value), of_piece)
+        return _moved(F.flatten(spans), c.start)
 
     return F.flatten(F.transform(matches(text, CANDIDATE), of_candidate))
 

@@ -82,6 +82,29 @@ def test_entropy_windows(spark):
     assert got[4].spans == f"entropy:{hot[0]}:{hot[-1] + WINDOW}"
 
 
+def test_entropy_of_single_case_keys_and_beside_allowed_words(spark):
+    lower, digits, mixed = "qzjxkvwbmhtgfpydlcnrsuea", "83150274961839205746", "k3vQ9mXp7Rt2LwB8nHc5YdJ0fG"
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    cases = [
+        (lower, [(0, 24)]),
+        (lower.upper(), [(0, 24)]),
+        (digits, [(0, 20)]),
+        ("1" * 20, []),
+        ("01234567890123456789", []),
+        (f"examples/{mixed}", [(9, 35)]),
+        (f"sample_{lower}", [(7, 31)]),
+        (f"{mixed}/dummy/{mixed}", [(0, 26), (33, 59)]),
+        (f"dummy{mixed}", []),
+        (f"path/to/{lower}", [(8, 32)]),
+        (f"examples/{uuid}", []),
+        ("some_long_function_name/of/words", []),
+        ("Geschwindigkeitsbegrenzungen/Donaudampfschifffahrtsgesellschaft", []),
+    ]
+    docs = spark.createDataFrame([(i, f"é {t} x") for i, (t, _) in enumerate(cases)], DOCS)
+    got = {r.doc_id: r.spans for r in secrets(docs).collect()}
+    assert [got[i] for i in range(len(cases))] == [",".join(f"entropy:{a + 2}:{b + 2}" for a, b in w) for _, w in cases]
+
+
 PERSONAL = [
     "mail a.b+c@x-y.example.com, or a@b c@d.e@f.g x@y.z.",
     "ips 1.2.3.4.5 256.1.1.1 0.0.0.0 001.02.3.255 1.2.3 99999999999.1.1.1",
