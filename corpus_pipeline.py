@@ -24,9 +24,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is not among ``ids``; those without an id stay."""
-    return docs.join(ids.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, a digest of id and text: rows are judged by it, ids may be repeated or missing."""
+    return docs.withColumn("__key", F.xxhash64("doc_id", F.lit("/"), "text"))
+
+
+def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key is not among ``keys``."""
+    return keyed.join(keys.hint("shuffle_hash"), "__key", "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +47,28 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    groups = jaccard_components(docs, words=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
-    return _without(docs, groups.where("doc_id != component_id").select("doc_id"))
+    """The document with the smallest id of each group of near copies, and one of equal rows."""
+    keyed = _keyed(docs)
+    groups = jaccard_components(keyed, id_column="__key", words=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
+    rows = keyed.groupBy("__key").agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    judged = stage(rows.join(groups.select("__key", "component_id"), "__key"), "judged")
+    # Those without an id come after all others; ties by key.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key"))
+    best = judged.groupBy("component_id").agg(first.alias("best")).select("best.__key")
+    copies = judged.select("__key").join(best, "__key", "left_anti")
+    repeated = judged.where("n > 1").join(best, "__key", "left_semi").select("__key")
+    kept = _without(keyed, copies.unionByName(repeated))
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    once = keyed.join(repeated, "__key", "left_semi").dropDuplicates(["__key"])
+    return kept.unionByName(once).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id").distinct())
+    keyed = _keyed(docs)
+    found = contamination(keyed, table(spark, sf_dir, "benchmark"), id_column="__key")
+    return _without(keyed, found.where("contaminated").select("__key").distinct()).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

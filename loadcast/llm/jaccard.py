@@ -346,7 +346,7 @@ def jaccard_components(
     shingles; ``component_id`` is the smallest id that links reach. Words are between ASCII
     spaces, A-Z read as a-z; a text of fewer words is one shingle. Null, empty and blank texts
     have no shingle and link with nothing. Rows without an id are left out; ids are expected
-    to be unique, and an id that is repeated counts once, with its largest set. Other columns
+    to be unique, and an id that is repeated counts once, with the shingles of all its rows. Other columns
     are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession

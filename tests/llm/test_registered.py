@@ -114,6 +114,24 @@ def test_stages(spark, tables):
             assert {"slot", "block", "in_block"} <= set(docs.columns)
 
 
+def test_stages_judge_rows_with_repeated_and_missing_ids(spark, tables):
+    folder, rows, _, leaks, _ = tables
+    leak = rows[min(leaks)][1]
+    own, other, third = (" ".join(f"{w}{i}" for i in range(40)) for w in "xyz")
+    docs = [
+        (1, own), (1, own), (1, own), (2, own + " more"), (None, own),
+        (5, other), (5, leak), (None, leak), (None, third), (None, third), (7, third + " more"), (8, None), (8, None),
+    ]
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    clean = corpus_pipeline.drop_contaminated(spark, table, folder)
+    assert clean.columns == table.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in clean.collect()))) == sorted(str(x) for x in docs if x[1] != leak)
+    kept = corpus_pipeline.drop_near_copies(spark, table, folder)
+    want = [(1, own), (5, other), (5, leak), (7, third + " more"), (8, None)]
+    assert kept.columns == table.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+
+
 def test_run_equals_the_stages_in_a_row(spark, tables):
     folder, rows, toxic, leaks, copies = tables
     got = {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()}
