@@ -1,11 +1,12 @@
 """Personal data: known forms, and what stands in the same places as they do.
 
 The known forms are the seeds. Each seed, and each other string that looks like an identifier
-(it has a digit or an @), is an instance with two lexical patterns: the two words before it, and
+(a word with a digit or an @, or a run of digit groups as numbers are written), is an instance with two lexical patterns: the two words before it, and
 the word before with the word after. Spark scores the graph of patterns and instances in rounds.
 A pattern's confidence for a kind is the share of its occurrences that are of that kind by now;
 an instance's is the chance that not all of its confident patterns are wrong. Patterns with
-enough support at high confidence then find the identifiers that no form describes.
+enough support at high confidence then find the identifiers that no form describes. Rounds go on
+until the accepted patterns stay as they are.
 
 Texts are read once. The graph holds only identifier-like strings and is joined and aggregated
 by Spark; repeated edges are counted before they are shuffled.
@@ -25,7 +26,6 @@ from loadcast.llm.spans import in_order, written
 from loadcast.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 2
 MIN_CONFIDENCE = 0.8
 MIN_SUPPORT = 3
 
@@ -34,9 +34,15 @@ _AFTER_AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+# Digit groups joined by one space or by ( ) . and -, taken whole: no retries inside it.
+_RUN = re.compile(r"\(?[0-9]++(?:(?:\)[ .-]?\(?|[ .-]\(?|\()[0-9]++)++")
+_LAST_GROUP = re.compile(r"[ ().-]+[0-9]+$")
+_IP_LIKE = re.compile(r"[0-9]+(?:[.:,_-][0-9]+){3}")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TRIM = ".,;:!?()[]{}<>\"'"
+_SPACES = " \t\n\v\f\r"
 _REACH = 80
+MIN_DIGITS, MAX_DIGITS = 7, 19
 
 
 def luhn(digits: str) -> bool:
@@ -98,20 +104,50 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _digits(value: str) -> int:
+    return sum("0" <= c <= "9" for c in value)
+
+
+def _runs(text: str, busy: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Numbers of several words between the spans already taken: as many digits as a phone or a card has."""
+    at = 0
+    for first, last in [*busy, (len(text), len(text))]:
+        for m in _RUN.finditer(text, at, max(at, first)):
+            a, b = m.span()
+            if b < len(text) and not (text[b] in _TRIM or text[b] in _SPACES):
+                cut = _LAST_GROUP.search(text, a, b)
+                b = cut.start() if cut else a
+            if a and not (text[a - 1] in _TRIM or text[a - 1] in _SPACES):
+                space = text.find(" ", a, b)
+                a = space + 1 if space >= 0 else b
+            if " " in text[a:b] and MIN_DIGITS <= _digits(text[a:b]) <= MAX_DIGITS:
+                yield a, b
+        at = max(at, last)
+
+
 def like_spans(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Identifier-like strings beside the spans already taken, without punctuation around them."""
+    """Identifier-like strings beside the spans already taken, without punctuation around them.
+
+    A number written as several words is one string; its words are strings of their own only if
+    they could be an identifier by themselves.
+    """
     if "@" not in text and not _DIGIT.search(text):
         return []
     out, busy, k = [], sorted((a, b) for _, a, b in taken), 0
+    runs, r = list(_runs(text, busy)), 0
     for m in _words_with(text):
         a, b = m
         value = text[a:b]
         a, b = a + len(value) - len(value.lstrip(_TRIM)), b - (len(value) - len(value.rstrip(_TRIM)))
         while k < len(busy) and busy[k][1] <= a:
             k += 1
+        while r < len(runs) and runs[r][1] <= a:
+            r += 1
+        part = r < len(runs) and runs[r][0] < b
         if a < b and not (k < len(busy) and busy[k][0] < b):
-            out.append((a, b))
-    return out
+            if not part or _digits(text[a:b]) >= MIN_DIGITS or "@" in text[a:b] or _IP_LIKE.fullmatch(text, a, b):
+                out.append((a, b))
+    return sorted(out + runs)
 
 
 def _words_with(text: str) -> Iterator[tuple[int, int]]:
@@ -176,46 +212,75 @@ def _could_be(kind: Column, value: Column) -> Column:
     )
 
 
-def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``pattern, kind`` of the patterns that are confident after the last round.
+def _state(accepted: DataFrame) -> tuple:
+    """Equal for equal patterns with equal confidence, to a thousandth."""
+    same = F.xxhash64("pattern", "kind", F.round("confidence", 3))
+    return tuple(accepted.agg(F.count("*"), F.bit_xor(same)).first())
+
+
+def score_graph(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """``pattern, kind`` of the patterns that are confident when they no longer change, or after ``rounds``.
 
     ``edges`` has ``pattern, value, kind, n``; ``kind`` is null for instances that are not seeds.
+    A round only adds to beliefs and confidence, so the patterns come to rest.
     """
     known = edges.where("kind is not null").select("value", "kind").distinct().withColumn("belief", F.lit(1.0))
     total = stage(edges.groupBy("pattern").agg(F.sum("n").alias("total")), "pattern-totals")
-    accepted = None
-    for turn in range(rounds):
-        held = edges.select("pattern", "value", "n").join(known, "value")
+    once = stage(edges.groupBy("pattern", "value").agg(F.sum("n").alias("n")), "pattern-values")
+    before, turn = None, 0
+    while True:
         scored = (
-            held.groupBy("pattern", "kind")
-            .agg(F.sum(F.col("n") * F.col("belief")).alias("good"), F.approx_count_distinct("value").alias("support"))
+            once.join(known, "value")
+            .groupBy("pattern", "kind")
+            .agg(F.sum(F.col("n") * F.col("belief")).alias("good"), F.count("*").alias("support"))
             .join(total, "pattern")
             .withColumn("confidence", F.col("good") / (F.col("total") + 1.0))
         )
         confident = (F.col("confidence") >= MIN_CONFIDENCE) & (F.col("support") >= MIN_SUPPORT)
         accepted = stage(scored.where(confident).select("pattern", "kind", "confidence"), f"patterns-{turn}")
-        if turn + 1 < rounds:
-            new = (
-                edges.where("kind is null")
-                .select("pattern", "value")
-                .join(accepted, "pattern")
-                .where(_could_be(F.col("kind"), F.col("value")))
-                .groupBy("value", "kind")
-                .agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("belief"))
-            )
-            seeds = edges.where("kind is not null").select("value", "kind").distinct().withColumn("belief", F.lit(1.0))
-            known = stage(seeds.unionByName(new).groupBy("value", "kind").agg(F.max("belief").alias("belief")), "known")
-    return accepted
+        turn += 1
+        now = _state(accepted)
+        if now == before or now[0] == 0 or turn == rounds:
+            return accepted
+        before = now
+        new = (
+            edges.where("kind is null")
+            .select("pattern", "value")
+            .join(accepted, "pattern")
+            .where(_could_be(F.col("kind"), F.col("value")))
+            .groupBy("value", "kind")
+            .agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("belief"))
+        )
+        seeds = edges.where("kind is not null").select("value", "kind").distinct().withColumn("belief", F.lit(1.0))
+        known = stage(seeds.unionByName(new).groupBy("value", "kind").agg(F.max("belief").alias("belief")), "known")
+
+
+def _outermost(spans: Column) -> Column:
+    """Spans that no other of them holds; they only overlap as a number and its words do."""
+
+    def step(got: Column, s: Column) -> Column:
+        last = F.element_at(got, -1)
+        held = (F.size(got) > 0) & (s.end <= last.end)
+        return F.when(held, got).otherwise(F.array_append(got, F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end"))))
+
+    ordered = F.array_sort(
+        spans,
+        lambda a, b: F.when(a.start != b.start, F.when(a.start < b.start, -1).otherwise(1))
+        .when(a.end != b.end, F.when(a.end > b.end, -1).otherwise(1))
+        .otherwise(0),
+    )
+    none = F.array().cast("array<struct<kind:string,start:long,end:long>>")
+    return F.aggregate(ordered, none, lambda got, s: F.when(F.size(got) == 0, F.array(s)).otherwise(step(got, s)))
 
 
 def personal_data(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rounds: int | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: counts of known forms, their digest, and all spans.
 
     Returns ``id_column, n_email, n_ip, n_card, n_phone, n_found, base_sha256, spans``; the spans
     that patterns add have the kinds ``found_email`` and so on. A string that patterns of several
-    kinds find is the first such kind. A null text is read as an empty one. Rows without an id and
+    kinds find is the first such kind, one inside another that patterns find is left out. A null text is read as an empty one. Rows without an id and
     repeated rows are read like others; extra columns are not read. Empty tables give no rows.
     """
     texts = docs.select(F.xxhash64(id_column, text_column).alias("key"), F.col(id_column).cast("long").alias("id"), text_column)
@@ -243,7 +308,7 @@ def personal_data(
             ).alias("s"),
         )
         .groupBy("key")
-        .agg(F.collect_list("s").alias("added"))
+        .agg(_outermost(F.collect_list("s")).alias("added"))
     )
     plain = F.transform("base", lambda s: F.struct(s.kind.alias("kind"), s.start.alias("start"), s.end.alias("end")))
     none = F.array().cast("array<struct<kind:string,start:long,end:long>>")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loadcast.llm.language import language
 from loadcast.llm.lines import line_dedup
 from loadcast.llm.mixing import mix
-from loadcast.llm.pii import base_spans, personal_data
+from loadcast.llm.pii import base_spans, personal_data, score_graph
 from loadcast.llm.secrets import WINDOW, secrets
 from loadcast.llm.toxicity import toxicity, without_toxic
 
@@ -158,6 +158,26 @@ def test_patterns_find_unseen_identifiers(spark):
     assert got[101].n_found == 0
 
 
+def test_patterns_find_unseen_numbers_of_several_words(spark):
+    rows = [(i, f"please call us at +1 (988) 555-{2000 + i} today, and so on") for i in range(40)]
+    numbers = ["(020) 7946 0958", "020 79460958", "0171.555 0123", "4111 2222 3333", "7946095"]
+    rows += [(100 + i, f"please call us at {x} today") for i, x in enumerate(numbers)]
+    rows += [(200, "please wait 12 34 days"), (201, "call us at 10 30 x")]
+    got = {r.doc_id: r for r in personal_data(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, x in enumerate(numbers):
+        assert got[100 + i].n_found == 1 and got[100 + i].spans in [f"found_{k}:18:{18 + len(x)}" for k in ("card", "phone")]
+    assert got[200].n_found == got[201].n_found == 0
+
+
+def test_pattern_rounds_go_on_until_nothing_changes(spark):
+    # What one pattern finds is nearly all that the next one holds: each round accepts one more.
+    edges = [(f"p{k}", f"x{k}{v}@host", "email" if k == 0 else None, 200) for k in range(4) for v in range(3)]
+    edges += [(f"p{k}", f"x{k + 1}{v}@host", None, 1) for k in range(4) for v in range(3)]
+    table = spark.createDataFrame(edges, "pattern string, value string, kind string, n long")
+    assert {r.pattern for r in score_graph(table, 2).collect()} == {"p0", "p1"}
+    assert {r.pattern for r in score_graph(table).collect()} == {"p0", "p1", "p2", "p3"}
+
+
 def held(i: int) -> bool:
     return zlib.crc32(str(i).encode()) % 4 == 2
 
