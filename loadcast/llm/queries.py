@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadcast.llm.codes import vector_codes
 from loadcast.llm.decontam import contamination
 from loadcast.llm.jaccard import jaccard_components
 from loadcast.llm.language import language
@@ -16,7 +17,9 @@ from loadcast.llm.phrases import remove_repeats
 from loadcast.llm.pii import personal_data
 from loadcast.llm.quality import quality
 from loadcast.llm.secrets import secrets
+from loadcast.llm.simhash import simhash_components
 from loadcast.llm.toxicity import toxicity
+from loadcast.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +79,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
@@ -87,4 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pfair_mixing": op9_pfair_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_simhash_dedup": op13_simhash_dedup,
 }
