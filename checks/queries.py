@@ -101,6 +101,25 @@ def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_series(spark, path, cols).select("o_orderstatus", "o_orderdate", "o_totalprice")
 
 
+def load_mixed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of CSV files with three column orders, some without the further column."""
+    cols = SeriesColumns("o_orderstatus", "o_orderdate", "o_totalprice")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderstatus", F.col("o_orderdate").cast("string").alias("o_orderdate"), "o_totalprice", "o_custkey", "o_orderkey"
+    )
+    path = scratch(spark, "mixed")
+    orders = (
+        ["o_orderstatus", "o_orderdate", "o_totalprice", "o_custkey"],
+        ["o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"],
+        ["o_totalprice", "o_orderstatus", "o_orderdate"],
+    )
+    for i, names in enumerate(orders):
+        part = rows.where(F.col("o_orderkey") % 3 == i).select(*names)
+        part.write.mode("append").option("header", True).csv(path)
+    found = load_series(spark, path, cols, unique=True)
+    return found.select("o_orderstatus", "o_orderdate", "o_totalprice", F.col("o_custkey").cast("long"))
+
+
 def load_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     rows = events.select(
@@ -622,6 +641,7 @@ def forest_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_series": load_series_file,
     "load_csv": load_csv,
+    "load_mixed_csv": load_mixed_csv,
     "load_dedup": load_dedup,
     "predictions_round_trip": predictions_round_trip,
     "run_record_round_trip": run_record_round_trip,

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..schema import CALENDAR_COLUMNS, DEFAULT_COLUMNS, FEATURE_COLUMNS, SeriesColumns
 from ..session import stage
+from .boosting import PATIENCE, Boosted, boost
+from .forests import NODE_CACHE, ROWS_PER_TASK, fit_forest, forest_importance
 
 VECTOR = "_features"
 HOLDOUT = "_holdout"
@@ -25,10 +27,9 @@ BOOSTING = {"stepSize": 0.08, "maxIter": 300, "maxDepth": 5, "minInstancesPerNod
 HOLDOUT_FRACTION = 0.1
 
 # Split candidates per feature: a node keeps this many statistics for each feature,
-# so it is the main cost of a deep tree.
+# so it is the main cost of a deep tree. One value for forests and boosting (README has
+# seconds and errors for others).
 MAX_BINS = 64
-# Boosting goes on while the holdout error falls at all.
-HOLDOUT_TOLERANCE = 1e-5
 
 # Node statistics kept per pass. The default of 256 MB makes a deep forest take
 # several times as many passes over the data.
@@ -48,6 +49,7 @@ def random_forest(
         "featureSubsetStrategy": "all",
         "maxMemoryInMB": NODE_MEMORY_MB,
         "seed": seed,
+        **NODE_CACHE,
         **FOREST,
         **overrides,
     }
@@ -62,11 +64,9 @@ def calendar_forest(target: str = DEFAULT_COLUMNS.target, seed: int = SEED, **ov
 def gradient_boosting(
     target: str = DEFAULT_COLUMNS.target, features: Sequence[str] = FEATURE_COLUMNS, seed: int = SEED, **overrides: object
 ) -> Pipeline:
-    """The challenger. Boosting stops early on the rows marked as holdout."""
+    """The challenger. ``fit_model`` stops it by its loss on a holdout tenth of the rows."""
     params = {
         "maxBins": MAX_BINS,
-        "validationIndicatorCol": HOLDOUT,
-        "validationTol": HOLDOUT_TOLERANCE,
         "maxMemoryInMB": NODE_MEMORY_MB,
         "seed": seed,
         **BOOSTING,
@@ -81,15 +81,10 @@ def holdout_flag(cols: SeriesColumns = DEFAULT_COLUMNS, fraction: float = HOLDOU
     return F.pmod(F.xxhash64(*cols.key, F.lit(seed)), F.lit(slots)) < int(slots * fraction)
 
 
-def fit_model(
-    estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS, partitions: int | None = None
-) -> PipelineModel:
-    """Train on all the given rows, over every series. Pass only rows the model may see.
-
-    Each partition keeps the statistics of every open tree node, so for deep trees
-    many small partitions cost time and memory. ``partitions`` merges them, without
-    a shuffle; about one per core of the cluster is right.
-    """
+def assembled(
+    estimator: Pipeline, rows: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS, keep: Sequence[str] = ()
+) -> DataFrame:
+    """What a fit reads: the feature vector, the target, the holdout mark, and the columns to keep."""
     assembler, regressor = estimator.getStages()
     features = assembler.getInputCols()
     missing = [c for c in features if c not in rows.columns]
@@ -98,11 +93,52 @@ def fit_model(
     target = regressor.getLabelCol()
     if target not in rows.columns:
         raise ValueError(f"Missing target column: {target}")
-    wanted = [*features, target]
-    rows = rows.coalesce(partitions) if partitions else rows
+    held = F.lit(False)
     if isinstance(regressor, GBTRegressor):
-        return estimator.fit(rows.select(*wanted, holdout_flag(cols).alias(HOLDOUT)))
-    return estimator.fit(rows.select(*wanted))
+        held = holdout_flag(cols)
+    return assembler.transform(rows).select(*keep, VECTOR, target, held.alias(HOLDOUT))
+
+
+def fit_vectors(
+    regressor: Estimator, vectors: DataFrame, partitions: int | None = None, patience: int = PATIENCE
+) -> PipelineModel:
+    """Train on a staged table of ``assembled`` rows. The result scores rows with a vector."""
+    if isinstance(regressor, GBTRegressor):
+        return PipelineModel([boosted(regressor, vectors, partitions, patience).model])
+    return PipelineModel(fit_forest(regressor, vectors.drop(HOLDOUT), partitions))
+
+
+def boosted(
+    regressor: GBTRegressor, vectors: DataFrame, partitions: int | None = None, patience: int = PATIENCE
+) -> Boosted:
+    """Boosting on a staged table of ``assembled`` rows, with its holdout losses.
+
+    Rounds follow each other, so only rows can be dealt out: a partition for each core, fewer
+    if the rows are few.
+    """
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    few = -(-vectors.count() * cores // ROWS_PER_TASK)
+    merged = vectors.coalesce(partitions or max(1, few))
+    train, held = (merged.where(c).drop(HOLDOUT) for c in (~F.col(HOLDOUT), F.col(HOLDOUT)))
+    return boost(regressor, train, held, patience)
+
+
+def fit_model(
+    estimator: Pipeline,
+    rows: DataFrame,
+    cols: SeriesColumns = DEFAULT_COLUMNS,
+    partitions: int | None = None,
+    patience: int = PATIENCE,
+) -> PipelineModel:
+    """Train on all the given rows, over every series. Pass only rows the model may see.
+
+    The vectors are written once; every pass of every job reads them. The number of partitions
+    follows the rows and the cores unless ``partitions`` names one. Boosting stops after
+    ``patience`` rounds without a lower loss on its holdout rows.
+    """
+    assembler, regressor = estimator.getStages()
+    vectors = stage(assembled(estimator, rows, cols), "vectors")
+    return PipelineModel([assembler, *fit_vectors(regressor, vectors, partitions, patience).stages])
 
 
 def predict(model: Model, rows: DataFrame, name: str = "prediction") -> DataFrame:
@@ -112,8 +148,7 @@ def predict(model: Model, rows: DataFrame, name: str = "prediction") -> DataFram
 
 def feature_importance(model: PipelineModel) -> DataFrame:
     """``(feature, importance)``, largest first. The model holds one number per feature."""
-    assembler, regressor = model.stages[0], model.stages[-1]
-    pairs = zip(assembler.getInputCols(), regressor.featureImportances.toArray().tolist())
+    pairs = zip(model.stages[0].getInputCols(), forest_importance(model))
     table = SparkSession.active().createDataFrame(list(pairs), "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature")
 

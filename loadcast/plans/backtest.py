@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import backtest_summary, error_metrics
-from ..operators.models import gradient_boosting, random_forest, timed_fit, timed_predict
+from ..operators.models import assembled, fit_vectors, gradient_boosting, random_forest, timed_predict
 from ..operators.ranking import rank_models
 from ..operators.split import (
     MIN_TRAIN_FRACTION,
@@ -77,6 +79,23 @@ def backtest_record(
     )
 
 
+def fold_vectors(
+    placed: DataFrame,
+    pipelines: Mapping[str, Pipeline],
+    reads: Mapping[str, tuple[tuple[str, ...], bool]],
+    cols: SeriesColumns = DEFAULT_COLUMNS,
+) -> dict[tuple[str, ...], DataFrame]:
+    """A staged vector table for each set of features, in folders by ``fold``; 0 trains every fold."""
+    rows = placed.withColumn("fold", F.coalesce("fold", F.lit(0)))
+    out = {}
+    # One with a holdout mark serves those that do not read it, too.
+    for name, (features, _) in sorted(reads.items(), key=lambda item: not item[1][1]):
+        if features not in out:
+            table = assembled(pipelines[name], rows, cols, [*cols.key, "fold"])
+            out[features] = stage(table, "fold-vectors", ["fold"])
+    return out
+
+
 def backtest(
     frame: DataFrame,
     cols: SeriesColumns = DEFAULT_COLUMNS,
@@ -87,8 +106,9 @@ def backtest(
 ) -> Backtest:
     """Fit every estimator on each fold's past and measure it on the fold.
 
-    The fold of a row is arithmetic on its position, so each fit reads a filter
-    of the same frame; nothing is copied per fold. Stage the frame beforehand.
+    The fold of a row is arithmetic on its position. Features are assembled once, into a vector
+    table with a folder for each fold (0 for rows that only train), whatever the number of folds
+    and estimators: a fit reads the folders before its fold, its scoring the fold's own.
     Only metric rows, one per fold and model, are gathered. With ``parallelism``
     several fits are submitted at once, and their recorded times overlap.
     """
@@ -101,11 +121,22 @@ def backtest(
     placed = validation_fold(rows, n_folds, min_train_fraction)
     results = fold_metrics(as_model(placed, SEASONAL_NAIVE, "lag_168", cols), (), cols)
 
+    pipelines = {name: make() for name, make in estimators.items()}
+    # Estimators that read the same features, holdout mark included, share one table.
+    reads = {
+        name: (tuple(p.getStages()[0].getInputCols()), isinstance(p.getStages()[1], GBTRegressor))
+        for name, p in pipelines.items()
+    }
+    tables = fold_vectors(placed, pipelines, reads, cols)
+
     def measure(task: tuple[int, str]) -> DataFrame:
         fold, name = task
-        past = placed.where(F.col("fold").isNull() | (F.col("fold") < fold))
-        model, train_seconds = timed_fit(estimators[name](), past, cols)
-        scored, predict_seconds = timed_predict(model, placed.where(F.col("fold") == fold), cols)
+        table = tables[reads[name][0]]
+        started = time.perf_counter()
+        past = table.where(F.col("fold") < fold).drop("fold")
+        model = fit_vectors(pipelines[name].getStages()[1], past)
+        train_seconds = time.perf_counter() - started
+        scored, predict_seconds = timed_predict(model, table.where(F.col("fold") == fold), cols)
         return error_metrics(scored, (), cols.target).select(
             F.lit(fold).alias("fold"),
             F.lit(name).alias("model"),

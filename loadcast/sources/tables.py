@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.errors import nan_to_null
+from ..functions.errors import error_columns, nan_to_null
 from ..operators.filters import with_errors
 from ..operators.ordering import drop_duplicate_times
 from ..schema import DEFAULT_COLUMNS, SeriesColumns, require_columns
+from .headers import read_csv
 
 # Texts a CSV reader takes as a missing number.
 MISSING_TEXTS = [
@@ -48,11 +49,13 @@ def parse_number(value: Column, kind: T.DataType) -> Column:
     return nan_to_null(value.cast("double"))
 
 
-def read_table(spark: SparkSession, path: str, format: str, what: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, format: str, what: str, required: Sequence[str] = ()) -> DataFrame:
+    """A table with the required columns; CSV columns are text, matched by the header of each file."""
     if format == "csv":
-        # Text columns matched by header name. A fixed schema would bind by position.
-        return existing(lambda: spark.read.option("header", True).option("mode", "FAILFAST").csv(path), what, path)
-    return existing(lambda: spark.read.format(format).load(path), what, path)
+        return existing(lambda: read_csv(spark, path, required), what, path)
+    table = existing(lambda: spark.read.format(format).load(path), what, path)
+    require_columns(table, required)
+    return table
 
 
 def load_series(
@@ -71,8 +74,7 @@ def load_series(
     shuffle for sources known to have none. Order is left to the operators that
     need it; sort at the sink if a sorted file is wanted.
     """
-    raw = read_table(spark, path, format, "Dataset")
-    require_columns(raw, [cols.time, cols.target])
+    raw = read_table(spark, path, format, "Dataset", [cols.time, cols.target])
     kinds = {f.name: f.dataType for f in raw.schema.fields}
     typed = raw.withColumns(
         {
@@ -92,9 +94,8 @@ def load_predictions(
     pattern: str | None = None,
     series: str = "all",
 ) -> DataFrame:
-    """A saved prediction table, typed, with its error columns complete."""
-    raw = read_table(spark, path, format, "Final predictions artifact")
-    require_columns(raw, [cols.time, cols.target, "prediction"])
+    """A saved prediction table, typed, with its error columns complete, also where only some files have them."""
+    raw = read_table(spark, path, format, "Final predictions artifact", [cols.time, cols.target, "prediction"])
     kinds = {f.name: f.dataType for f in raw.schema.fields}
     numbers = [n for n in (cols.target, "prediction", "residual", "absolute_error") if n in kinds]
     typed = raw.withColumns(
@@ -104,6 +105,8 @@ def load_predictions(
             **{n: parse_number(F.col(n), kinds[n]) for n in numbers},
         }
     )
+    if "residual" in kinds:
+        typed = typed.withColumn("residual", F.coalesce("residual", error_columns(cols.target)["residual"]))
     return with_errors(typed, cols)
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import json
 
 import pytest
@@ -47,6 +48,32 @@ def test_columns_are_matched_by_name_and_extras_pass_through(spark, tmp_path):
     assert [(r["note"], r["Load_MW"]) for r in rows] == [("x", 1.0), ("y", None)]
 
 
+def test_files_of_one_folder_are_read_by_their_own_header(spark, tmp_path):
+    folder = tmp_path / "mixed folder"
+    folder.mkdir()
+    write(folder / "a.csv", "Datetime,Load_MW,temp", "2024-01-01 00:00:00,100,1")
+    write(folder / "b.csv", "Datetime,temp,Load_MW", "2024-01-01 01:00:00,4,900")
+    write(folder / "c.csv", "Load_MW,Datetime", '"300",2024-01-01 02:00:00')
+    write(folder / "d.csv", "Datetime,Load_MW,temp", "2024-01-01 03:00:00,5,6")
+    (folder / "empty.csv").write_text("")
+    with gzip.open(folder / "e.csv.gz", "wt") as out:
+        out.write("temp,Load_MW,Datetime\n7,8,2024-01-01 04:00:00\n")
+    rows = load_series(spark, str(folder), ENERGY).orderBy("Datetime").collect()
+    assert [(r["Datetime"].hour, r["Load_MW"], r["temp"]) for r in rows] == [
+        (0, 100.0, "1"), (1, 900.0, "4"), (2, 300.0, None), (3, 5.0, "6"), (4, 8.0, "7"),
+    ]
+    write(folder / "f.csv", "Datetime,Other", "2024-01-01 05:00:00,1")
+    with pytest.raises(ValueError, match=r"f\.csv: \['Load_MW'\]"):
+        load_series(spark, str(folder), ENERGY)
+
+
+def test_predictions_of_differing_headers(spark, tmp_path):
+    write(tmp_path / "a.csv", "ts,y,prediction,residual", "2024-01-01 00:00:00,10,7,3")
+    write(tmp_path / "b.csv", "prediction,ts,y", "5,2024-01-01 01:00:00,1")
+    rows = load_predictions(spark, str(tmp_path)).orderBy("ts").collect()
+    assert [(r["y"], r["prediction"], r["residual"], r["absolute_error"]) for r in rows] == [(10, 7, 3, 3), (1, 5, -4, 4)]
+
+
 def test_the_smallest_of_differing_duplicates_is_kept(spark, tmp_path):
     path = write(
         tmp_path / "a.csv",
