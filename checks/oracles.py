@@ -186,6 +186,33 @@ ORACLES: dict[str, str] = {
     "forest_bounds": PANEL_FRAME + "SELECT series_id, ts, y, true AS within FROM frame WHERE split = 'test'",
     "boosting_keys": PANEL_FRAME + "SELECT series_id, ts, y, true AS finite FROM frame WHERE split = 'test'",
     "importance_total": "SELECT 11::BIGINT AS features, 1.0::DOUBLE AS total, 0::BIGINT AS negative FROM (SELECT 1 FROM lineitem LIMIT 1)",
+    "backtest_keys": with_frame(PANEL, FOLDS) + f""",
+      naive AS (
+        SELECT fold, {METRICS} FROM {MODELS.format("placed")} WHERE fold IS NOT NULL AND model = 'Seasonal Naive' GROUP BY fold)
+      SELECT CAST(fold AS INTEGER) AS fold, 'Seasonal Naive' AS model, {ROUNDED_METRICS}, true AS finite FROM naive
+      UNION ALL SELECT CAST(fold AS INTEGER), model, NULL, NULL, NULL, true
+      FROM naive, (VALUES ('Random Forest'), ('HistGradientBoosting')) v(model)""",
+    "comparison_keys": PANEL_FRAME + f""",
+      naive AS (SELECT {METRICS} FROM {MODELS.format("frame")} WHERE split = 'validation' AND model = 'Seasonal Naive')
+      SELECT 'Seasonal Naive' AS model, {ROUNDED_METRICS}, true AS finite, true AS ranked_by_mape FROM naive
+      UNION ALL SELECT model, NULL, NULL, NULL, true, true
+      FROM naive, (VALUES ('Random Forest'), ('HistGradientBoosting')) v(model)""",
+    "final_evaluation_counts": PANEL_FRAME + f""",
+      naive AS (SELECT {METRICS} FROM {MODELS.format("frame")} WHERE split = 'test' AND model = 'Seasonal Naive')
+      SELECT 'Random Forest' AS selected_model, 'train_plus_validation' AS training_scope,
+        (SELECT count(*) FROM frame WHERE split <> 'test') AS development_rows,
+        (SELECT count(*) FROM frame WHERE split = 'test') AS test_rows,
+        round(MAE, 6) AS naive_MAE, round(RMSE, 6) AS naive_RMSE, round(MAPE, 6) AS naive_MAPE,
+        true AS improvement_holds, true AS test_set_evaluated FROM naive""",
+    "forest_anomaly_rules": PANEL_FRAME + """
+      SELECT series_id, count(*) AS rows, 0::BIGINT AS wrong_flags, 0::BIGINT AS wrong_directions,
+        0::BIGINT AS wrong_scores, 0::BIGINT AS wrong_severities, true AS anomalies_are_the_flagged
+      FROM frame WHERE split = 'test' GROUP BY series_id""",
+    "calendar_forest_bounds": f"WITH {PANEL} SELECT series_id, ts, y, true AS within FROM series",
+    "model_round_trip": PANEL_FRAME + """
+      SELECT model, count(*) AS rows, 0::BIGINT AS differing
+      FROM frame, (VALUES ('forest'), ('boosting')) v(model) WHERE split = 'test' GROUP BY model""",
+    "boosting_rounds": "SELECT 0::BIGINT AS wrong_stops, 0::BIGINT AS wrongly_kept, true AS cut_to_best FROM (SELECT 1 FROM lineitem LIMIT 1)",
     "record_indented_json": PANEL_FRAME + """
       SELECT 'RandomForestRegressor' AS model_type, 'y' AS target_column,
         count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows

@@ -8,12 +8,13 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadcast import functions as fn
 from loadcast.operators import alignment as al
 from loadcast.operators import anomaly as an
+from loadcast.operators import boosting as bo
 from loadcast.operators import distribution as ds
 from loadcast.operators import filters as fl
 from loadcast.operators import history as hi
@@ -47,7 +48,7 @@ from loadcast.plans.backtest import fold_row_counts
 from loadcast.plans.training import run_metadata
 from loadcast.schema import CANDIDATE_MODELS, FEATURE_COLUMNS, SeriesColumns
 from loadcast.session import stage, staging_dir
-from loadcast.sources import load_predictions, load_record, load_series, save_record, write_table
+from loadcast.sources import load_model, load_predictions, load_record, load_series, save_model, save_record, write_table
 
 from .fixtures import (
     daily_orders,
@@ -616,26 +617,139 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     makers = {
-        CANDIDATE_MODELS[0]: lambda: mo.random_forest(**{**SMALL_FOREST, "numTrees": 5}),
+        CANDIDATE_MODELS[0]: lambda: mo.random_forest(**SMALL_FOREST),
         CANDIDATE_MODELS[1]: lambda: mo.gradient_boosting(),
     }
     return backtest(staged_frame(spark, sf_dir), estimators=makers, parallelism=4).results
 
 
+def naive_only(metrics: DataFrame, *columns: str) -> DataFrame:
+    """Metrics of the naive model, and whether those of the fitted ones are numbers: what SQL can know."""
+    numbers = ["MAE", "RMSE", "MAPE"]
+    naive = F.col("model") == "Seasonal Naive"
+    finite = F.forall(F.array(*numbers), fn.is_finite)
+    known = [F.when(naive, F.round(n, 6)).alias(n) for n in numbers]
+    return metrics.select(*columns, "model", *known, finite.alias("finite"))
+
+
+def backtest_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fold and model of the fitted backtest, with the naive model's numbers."""
+    return naive_only(model_backtest(spark, sf_dir), "fold")
+
+
+def comparison_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three compared models, with the naive model's numbers, and a rank for each."""
+    table = model_comparison(spark, sf_dir)
+    wrong = table.alias("a").join(table.alias("b"), F.expr("a.rank < b.rank AND a.MAPE > b.MAPE")).count()
+    return naive_only(table).withColumn("ranked_by_mape", F.lit(wrong == 0))
+
+
+def final_evaluation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final record without the forest's numbers; its rule and the naive numbers are SQL's."""
+    record = forest_final_evaluation(spark, sf_dir)
+    base, own = F.col("seasonal_naive.MAPE"), F.col("random_forest.MAPE")
+    return record.select(
+        "selected_model",
+        "training_scope",
+        "development_rows",
+        "test_rows",
+        *(F.round(f"seasonal_naive.{n}", 6).alias(f"naive_{n}") for n in ("MAE", "RMSE", "MAPE")),
+        (F.round("relative_mape_improvement_percent", 6) == F.round((base - own) / base * 100, 6)).alias("improvement_holds"),
+        "test_set_evaluated",
+    )
+
+
+def forest_anomaly_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows of the fitted run, and how many break a rule of flag, direction, score or severity."""
+    found = forest_detection(spark, sf_dir)
+    limits = found.thresholds.select("series_id", "threshold")
+    rows = found.scored.join(limits, "series_id")
+    size = F.abs(F.col("y") - F.col("prediction"))
+    sign = F.when(F.col("residual") > 0, "spike").when(F.col("residual") < 0, "drop").otherwise("neutral")
+    grade = F.expr(
+        "CASE WHEN NOT is_anomaly THEN 'normal' WHEN severity_score < 1.5 THEN 'moderate' "
+        "WHEN severity_score < 2.0 THEN 'high' ELSE 'critical' END"
+    )
+    held = found.scored.where("is_anomaly").count() == found.anomalies.count()
+    return rows.groupBy("series_id").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("is_anomaly") != (size > F.col("threshold"))).alias("wrong_flags"),
+        F.count_if(F.col("direction") != sign).alias("wrong_directions"),
+        F.count_if(F.abs(F.col("severity_score") * F.col("threshold") - size) > 1e-6).alias("wrong_scores"),
+        F.count_if(F.col("severity") != grade).alias("wrong_severities"),
+        F.lit(held).alias("anomalies_are_the_flagged"),
+    )
+
+
+def calendar_forest_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row, with a score among the targets."""
+    scored = calendar_forest(spark, sf_dir)
+    low, high = (scored.select(f("y").alias("bound")).scalar() for f in (F.min, F.max))
+    return scored.select("series_id", "ts", "y", F.col("prediction").between(low, high).alias("within"))
+
+
+def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest and a boosting saved, loaded and compared with themselves, row by row."""
+    frame = staged_frame(spark, sf_dir)
+    out = []
+    for name, estimator in (
+        ("forest", mo.random_forest(**SMALL_FOREST)),
+        ("boosting", mo.gradient_boosting(maxIter=5)),
+    ):
+        model = mo.fit_model(estimator, sp.part(frame, "train"))
+        loaded = load_model(spark, save_model(model, scratch(spark, name)))
+        both = mo.predict(model, sp.part(frame, "test"), "saved")
+        both = mo.predict(loaded, both.select("*"), "loaded")
+        differ = ~F.col("saved").eqNullSafe(F.col("loaded"))
+        out.append(both.agg(F.lit(name).alias("model"), F.count("*").alias("rows"), F.count_if(differ).alias("differing")))
+    return out[0].unionByName(out[1])
+
+
+def boosting_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stopping rule checked on the stored holdout losses with windows over the rounds.
+
+    Wrong rounds are those after which the rule says stop though a later one is there, or
+    does not though none is, and those kept beyond the least loss or left out before it.
+    """
+    estimator = mo.gradient_boosting()
+    train = sp.part(staged_frame(spark, sf_dir), "train")
+    found = mo.boosted(estimator.getStages()[1], stage(mo.assembled(estimator, train), "vectors"))
+    curve = stage(found.table(spark), "losses")
+    rounds = Window.orderBy("round")
+    last = Window.partitionBy()
+    recent = F.min("loss").over(rounds.rowsBetween(1 - bo.PATIENCE, 0))
+    before = F.lag("loss", bo.PATIENCE).over(rounds)
+    ruled = curve.select(
+        "*",
+        (before.isNotNull() & (recent >= before - bo.TOLERANCE)).alias("stop"),
+        (F.col("round") == F.max("round").over(last)).alias("last"),
+        F.min(F.struct("loss", "round")).over(last).alias("least"),
+    )
+    most = F.col("round") == mo.BOOSTING["maxIter"]
+    return ruled.agg(
+        F.count_if((F.col("stop") != F.col("last")) & ~(F.col("last") & most)).alias("wrong_stops"),
+        F.count_if(F.col("kept") != (F.col("round") <= F.col("least.round"))).alias("wrongly_kept"),
+        F.lit(len(found.model.trees) == found.rounds.best).alias("cut_to_best"),
+    )
+
+
 def forest_final_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = staged_frame(spark, sf_dir)
     selection = spark.sql("SELECT 'Random Forest' AS selected_model, false AS test_set_evaluated")
     return final_evaluation(frame, selection, estimator=mo.random_forest(**SMALL_FOREST)).record
 
 
-def forest_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forest_detection(spark: SparkSession, sf_dir: str) -> Detection:
     frame = staged_frame(spark, sf_dir)
     selection = spark.sql("SELECT 'Random Forest' AS selected_model, false AS test_set_evaluated")
     final = final_evaluation(frame, selection, estimator=mo.random_forest(**SMALL_FOREST))
-    found = calibrate_and_detect(
+    return calibrate_and_detect(
         frame, final.predictions, estimator=mo.random_forest(**SMALL_FOREST), layout=panel_layout(spark, sf_dir)
     )
-    return found.anomalies
+
+
+def forest_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_detection(spark, sf_dir).anomalies
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -712,4 +826,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_backtest": model_backtest,
     "final_evaluation": forest_final_evaluation,
     "forest_anomalies": forest_anomalies,
+    "backtest_keys": backtest_keys,
+    "comparison_keys": comparison_keys,
+    "final_evaluation_counts": final_evaluation_counts,
+    "forest_anomaly_rules": forest_anomaly_rules,
+    "calendar_forest_bounds": calendar_forest_bounds,
+    "model_round_trip": model_round_trip,
+    "boosting_rounds": boosting_rounds,
 }

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import math
 
 import numpy as np
@@ -11,7 +12,13 @@ from pyspark.sql import functions as F
 from loadcast.functions import default_window, iso_timestamp, label
 from loadcast.operators.filters import in_days, members, report, with_errors
 from loadcast.operators.layout import Layout
+from loadcast.operators.boosting import boost, cut_back, stopping_round
+from loadcast.operators.forests import plan_forest
 from loadcast.operators.models import (
+    HOLDOUT,
+    VECTOR,
+    assembled,
+    boosted,
     calendar_forest,
     feature_importance,
     fit_model,
@@ -111,6 +118,80 @@ def test_importance_sums_to_one_and_falls(spark, trained):
     assert len(shown) == 11 and shown == sorted(values)
 
 
+def test_patience_looks_over_a_bump():
+    falling = [10.0 - i for i in range(5)]
+    bump = [*falling, *[7.0] * 4, 5.0, 4.0, *[4.5] * 6, 3.9]
+    # The bump of four rounds is over before five without gain; the plateau after 4.0 is not.
+    found = stopping_round(bump, patience=5)
+    assert (found.stopped, found.best) == (16, 11)
+    assert stopping_round(bump, patience=4).stopped == 9 and stopping_round(bump, patience=4).best == 5
+    assert stopping_round(bump, patience=7).stopped is None and stopping_round(bump, patience=7).best == 18
+    # No gain at all, gains below the tolerance, ties, too few rounds.
+    assert stopping_round([1.0] * 30, patience=20).stopped == 21 and stopping_round([1.0] * 30, patience=20).best == 1
+    assert stopping_round([1.0 - i * 1e-9 for i in range(40)], patience=20).stopped == 21
+    assert stopping_round([3.0, 2.0, 2.0, 2.0], patience=2).best == 2
+    assert stopping_round([2.0, 1.0], patience=20).stopped is None
+    with pytest.raises(ValueError, match="patience"):
+        stopping_round([1.0], patience=0)
+
+
+def test_boosting_goes_on_past_a_bad_round_and_is_cut_back(spark, frame):
+    pipeline = gradient_boosting(**{**BOOST, "maxIter": 40, "stepSize": 0.4})
+    vectors = assembled(pipeline, part(frame, "train")).persist()
+    regressor = pipeline.getStages()[1]
+    train, held = vectors.where(f"not {HOLDOUT}").drop(HOLDOUT), vectors.where(HOLDOUT).drop(HOLDOUT)
+    found = boost(regressor, train, held, patience=4, first_rounds=5)
+    curve = found.table(spark).orderBy("round").collect()
+    losses = [r["loss"] for r in curve]
+    assert found.rounds == stopping_round(found.losses, 4) and len(found.model.trees) == found.rounds.best
+    assert losses.index(min(losses)) + 1 == found.rounds.best == sum(r["kept"] for r in curve)
+    # Doubling gives the curve of one long fit, and the cut model scores like the first trees of it.
+    whole = regressor.copy({regressor.maxIter: len(found.losses)}).fit(train)
+    assert np.allclose(whole.evaluateEachIteration(held, "squared"), found.losses)
+    short = regressor.copy({regressor.maxIter: found.rounds.best}).fit(train)
+    a, b = ([r[0] for r in m.transform(held).select("prediction").collect()] for m in (short, found.model))
+    assert np.allclose(a, b) and cut_back(short, 99) is short
+    vectors.unpersist()
+
+
+def test_boosting_without_holdout_rows_keeps_all_rounds(frame):
+    pipeline = gradient_boosting(**BOOST)
+    vectors = assembled(pipeline, part(frame, "train")).withColumn(HOLDOUT, F.lit(False))
+    assert len(boosted(pipeline.getStages()[1], vectors).model.trees) == 3
+
+
+def test_cut_back_models_are_saved_like_others(spark, frame, tmp_path):
+    model = fit_model(gradient_boosting(**{**BOOST, "maxIter": 30, "stepSize": 0.9}), part(frame, "train"), patience=2)
+    path = save_model(model, str(tmp_path / "boosted"))
+    rows = part(frame, "test")
+    before = predict(model, rows).orderBy("ts").select("prediction").collect()
+    assert before == predict(load_model(spark, path), rows).orderBy("ts").select("prediction").collect()
+
+
+def test_forests_share_idle_cores():
+    assert plan_forest(1000, 8, 100).trees == [13] * 4 + [12] * 4
+    assert plan_forest(1000, 8, 3).trees == [1, 1, 1] and plan_forest(0, 8, 2).partitions == 1
+    busy = plan_forest(100_000_000, 8, 100)
+    assert (busy.partitions, busy.trees) == (200, [100])
+    assert plan_forest(1_500_000, 8, 10).partitions == 3 and plan_forest(1_500_000, 8, 10).trees == [5, 5]
+
+
+def test_several_forests_are_one_scorer(spark, frame):
+    rows = part(frame, "train")
+    model = fit_model(random_forest(**{**SMALL, "numTrees": 7}), rows)
+    forests = [s for s in model.stages if hasattr(s, "getNumTrees")]
+    assert len(forests) > 1 and sum(f.getNumTrees for f in forests) == 7
+    scored = predict(model, rows)
+    assert set(scored.columns) == {*rows.columns, "prediction"}
+    vectors = model.stages[0].transform(rows).limit(20).collect()
+    want = [sum(t.predict(r[VECTOR]) for f in forests for t in f.trees) / 7 for r in vectors]
+    got = {(r["series_id"], r["ts"]): r["prediction"] for r in scored.collect()}
+    assert [got[r["series_id"], r["ts"]] for r in vectors] == pytest.approx(want)
+    shares = sum(t.featureImportances.toArray() / t.featureImportances.toArray().sum() for f in forests for t in f.trees) / 7
+    found = {r["feature"]: r["importance"] for r in feature_importance(model).collect()}
+    assert [found[c] for c in FEATURE_COLUMNS] == pytest.approx(list(shares))
+
+
 def test_holdout_is_a_fixed_tenth(hourly):
     df = hourly(range(5000)).withColumn("h", holdout_flag())
     held = {r["ts"] for r in df.where("h").collect()}
@@ -151,6 +232,26 @@ def test_backtest_fits_only_the_past(frame):
     assert next(r for r in rows if r["fold"] == 1 and r["model"] == "Seasonal Naive")["MAPE"] == pytest.approx(want)
 
 
+def test_backtest_assembles_once_for_all_fits(frame, monkeypatch):
+    """One vector table for two estimators and three folds; a fit reads the folders of its past."""
+    module = importlib.import_module("loadcast.plans.backtest")
+
+    assembled_for, read = [], []
+    monkeypatch.setattr(module, "assembled", lambda p, *a, **k: assembled_for.append(p) or assembled(p, *a, **k))
+    fit = module.fit_vectors
+    monkeypatch.setattr(module, "fit_vectors", lambda r, v: read.append(v) or fit(r, v))
+    makers = {
+        "Random Forest": lambda: random_forest(**{**SMALL, "numTrees": 2}),
+        "HistGradientBoosting": lambda: gradient_boosting(**BOOST),
+    }
+    rows = backtest(frame, estimators=makers, n_folds=3).results.collect()
+    assert len(rows) == 9 and len(assembled_for) == 1 and len(read) == 6
+    for vectors in read:
+        plan = vectors._jdf.queryExecution().executedPlan().toString()
+        assert "fold" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted({v.count() for v in read}) == [255, 340, 425]
+
+
 MODELS = ["Random Forest", "HistGradientBoosting"]
 
 
