@@ -93,7 +93,7 @@ def _shingle_counts(bitmap, sizes: list[int]):
     return run
 
 
-_CANDIDATE = "id long, n_words long, shingle long, place long, first long, around string"
+_CANDIDATE = "key long, id long, n_words long, shingle long, place long, first long, around string"
 
 
 def _candidates(bitmap, sizes: list[int], window: int):
@@ -102,10 +102,10 @@ def _candidates(bitmap, sizes: list[int], window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Bitmap = bitmap.value
         for batch in batches:
-            ids = np.asarray(batch.column(0))
+            keys = np.asarray(batch.column(0))
             for part in split_words(batch.column(1), alphanumeric()):
-                own = ids[part.first : part.first + part.count]
-                yield _rows(own, part.lengths, None, None, None, None)
+                own = keys[part.first : part.first + part.count]
+                yield _rows(own, batch.column(2).slice(part.first, part.count), part.lengths, None, None, None, None)
                 folded = None
                 for k in sizes:
                     at, hashes = part.sequences(k)
@@ -118,24 +118,25 @@ def _candidates(bitmap, sizes: list[int], window: int):
                     high = np.minimum(at + window, part.bounds[text + 1])
                     around = [_joined(part, folded, a, b) for a, b in zip(low, high, strict=True)]
                     base = part.bounds[text]
-                    yield _rows(own[text], part.lengths[text], hashes.view(np.int64), at - base, low - base, around)
+                    yield _rows(own[text], None, part.lengths[text], hashes.view(np.int64), at - base, low - base, around)
 
     return run
 
 
-def _rows(ids, n_words, shingle, place, first, around) -> pa.RecordBatch:
-    n = len(ids)
+def _rows(keys, ids, n_words, shingle, place, first, around) -> pa.RecordBatch:
+    n = len(keys)
     column = lambda v, kind: pa.nulls(n, kind) if v is None else pa.array(v, kind)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(ids, pa.int64()),
+            pa.array(keys, pa.int64()),
+            column(ids, pa.int64()),
             pa.array(n_words, pa.int64()),
             column(shingle, pa.int64()),
             column(place, pa.int64()),
             column(first, pa.int64()),
             column(around, pa.string()),
         ],
-        names=["id", "n_words", "shingle", "place", "first", "around"],
+        names=["key", "id", "n_words", "shingle", "place", "first", "around"],
     )
 
 
@@ -159,13 +160,13 @@ def contamination(
     of the item ids as strings, sorted and joined by commas. Words are ASCII letters (A-Z read
     as a-z), digits and anything beyond ASCII. An item of fewer words than ``window``, but not
     none, is one window. Null, empty and wordless texts have no words and no hit, null items
-    no window. An item without an id marks words but is not counted. Documents without an id
-    are left out; rows of a repeated id share their hits. Empty tables give no hits, or no
-    rows. Other columns are not read.
+    no window. An item without an id marks words but is not counted. Each row is judged by its own
+    text, also one without an id or with a repeated one. Texts of any length are read whole.
+    Empty tables give no hits, or no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    texts = texts.where("id is not null")
+    texts = texts.select(F.xxhash64("id", F.lit("/"), "text").alias("key"), "text", "id")
     sources = items.select(F.col(item_column).cast("string").alias("item_id"), F.col(item_text_column).alias("text"))
     windows = stage(
         sources.mapInArrow(
@@ -201,12 +202,12 @@ def contamination(
             )
             == F.col("passage")
         )
-        .select("id", begin.alias("begin"), (begin + F.col("size")).alias("end"), "passage")
+        .select("key", begin.alias("begin"), (begin + F.col("size")).alias("end"), "passage")
     )
     owners = stage(windows.select("passage", "item_id").distinct(), "owners")
     found = (
         hits.join(_bounded(owners), "passage")
-        .groupBy("id")
+        .groupBy("key")
         .agg(
             F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans"),
             F.sort_array(F.collect_set("item_id")).alias("items"),
@@ -226,8 +227,8 @@ def contamination(
     item_ids = F.coalesce("items", F.array().cast("array<string>"))
     return (
         read.where("shingle is null")
-        .select("id", "n_words")
-        .join(found, "id", "left")
+        .select("key", "id", "n_words")
+        .join(found, "key", "left")
         .select(
             F.col("id").alias(id_column),
             "n_words",

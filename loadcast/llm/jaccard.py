@@ -3,9 +3,14 @@
 1. Every shingle of every text goes, packed, to the task of its hash, which finds those that
    more than one text holds. Only such shingles can link texts.
 2. Each text gets its shared shingles back, ordered by rarity. A text with too few of them
-   has no partner. The others are listed under the rare shingles of their prefix: two texts
-   over the threshold meet in one list at least.
-3. A list is not joined with itself. It has a leader, the member with the fewest shingles of
+   has no partner. The others are listed under the rare shingles of their prefix, with their
+   size and the shingle's position: two texts over the threshold meet in the list of the
+   first shingle that they share.
+3. A list is cut into blocks by size, a factor of ``100 / percent`` each, so partners are in one
+   block or in two that follow each other. What comes after a shingle's position bounds how
+   large a partner can be: a text is copied into the next block only if its position lets it
+   have a partner there. Blocks that no position reaches are skipped before any pair is formed.
+   A block is not joined with itself. It has a leader, the member with the fewest shingles of
    its own; each member is compared with the leader once, and the difference is kept.
 4. The other pairs of a leader's members follow from those differences without reading the
    sets again: ``|x & y| = |L| - |L\\x or L\\y| + |x\\L and y\\L|``. Pairs of two partners of
@@ -32,11 +37,13 @@ from loadcast.llm.words import mix, spaced, split_words
 from loadcast.session import stage
 
 SHINGLES, TEXTS = 0, 1
-_SHINGLE = np.dtype([("hash", "<u8"), ("id", "<i8")])
-_SHARED = np.dtype([("hash", "<u8"), ("id", "<i8"), ("held_by", "<u4")])
-_TEXT = np.dtype([("id", "<i8"), ("size", "<i8"), ("sum_a", "<i8"), ("sum_b", "<i8")])
+_SHINGLE = np.dtype([("hash", "<u8"), ("key", "<i8")])
+_SHARED = np.dtype([("hash", "<u8"), ("key", "<i8"), ("held_by", "<u4")])
+_TEXT = np.dtype([("key", "<i8"), ("id", "<i8"), ("has_id", "u1"), ("size", "<i8"), ("sum_a", "<i8"), ("sum_b", "<i8")])
 _SALT = np.uint64(0xA0761D6478BD642F)
-BLOCK_MEMBERS = 4096
+# Members of a leader that are compared among each other: blocks of the fewest members are used
+# until there would be too many of them, then blocks grow to the most.
+FEWEST_MEMBERS, MOST_BLOCKS, MOST_MEMBERS = 256, 32, 4096
 
 
 def needed(size: int | np.ndarray, percent: int) -> int | np.ndarray:
@@ -67,9 +74,12 @@ def _pack_sets(words: int, buckets: int, homes: int):
         shingles = Packer(_SHINGLE, buckets, SHINGLES)
         texts = Packer(_TEXT, homes, TEXTS)
         for batch in batches:
-            ids = np.asarray(batch.column(0))
+            keys = np.asarray(batch.column(0))
+            ids = np.asarray(pc.fill_null(batch.column(2), 0))
+            has_id = np.asarray(pc.is_valid(batch.column(2)).cast(pa.uint8()))
             for part in split_words(batch.column(1), spaced(fold_case=True)):
-                own = ids[part.first : part.first + part.count]
+                rows = slice(part.first, part.first + part.count)
+                own = keys[rows]
                 text, hashes = text_sets(*part.shingles(words))
                 yield from shingles.add(bucket_of(hashes, buckets), hashes, own[text])
                 total = np.zeros((2, len(hashes) + 1), dtype=np.uint64)
@@ -78,7 +88,7 @@ def _pack_sets(words: int, buckets: int, homes: int):
                 at = np.searchsorted(text, np.arange(part.count + 1))
                 sums = (total[:, at[1:]] - total[:, at[:-1]]).view(np.int64)
                 place = bucket_of(mix(own.astype(np.uint64)), homes)
-                yield from texts.add(place, own, np.diff(at), sums[0], sums[1])
+                yield from texts.add(place, own, ids[rows], has_id[rows], np.diff(at), sums[0], sums[1])
         yield from shingles.flush()
         yield from texts.flush()
 
@@ -89,81 +99,118 @@ def _shared_shingles(homes: int):
     """Of the shingles of a bucket, those of two texts or more, sent on to their texts."""
 
     def run(table: pa.Table) -> pa.Table:
-        hashes, ids = unpack(of_kind(table, SHINGLES), _SHINGLE)
-        order = np.lexsort((ids, hashes))
-        hashes, ids = hashes[order], ids[order]
+        hashes, keys = unpack(of_kind(table, SHINGLES), _SHINGLE)
+        order = np.lexsort((keys, hashes))
+        hashes, keys = hashes[order], keys[order]
+        # Equal rows are one text.
         new = np.ones(len(hashes), dtype=bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1])
-        hashes, ids = hashes[new], ids[new]
+        new[1:] = (hashes[1:] != hashes[:-1]) | (keys[1:] != keys[:-1])
+        hashes, keys = hashes[new], keys[new]
         heads = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, int)
         held = np.diff(np.append(heads, len(hashes)))
         held_by = np.repeat(held, held)
         keep = held_by > 1
-        hashes, ids, held_by = hashes[keep], ids[keep], held_by[keep]
-        order = np.argsort(ids, kind="stable")
-        hashes, ids, held_by = hashes[order], ids[order], held_by[order]
+        hashes, keys, held_by = hashes[keep], keys[keep], held_by[keep]
+        order = np.argsort(keys, kind="stable")
+        hashes, keys, held_by = hashes[order], keys[order], held_by[order]
         out = Packer(_SHARED, homes, SHINGLES)
-        rows = [*out.add(bucket_of(mix(ids.astype(np.uint64)), homes), hashes, ids, held_by), *out.flush()]
+        rows = [*out.add(bucket_of(mix(keys.astype(np.uint64)), homes), hashes, keys, held_by), *out.flush()]
         passed = table.filter(pc.equal(table["kind"], TEXTS))
         return pa.concat_tables([passed, pa.Table.from_batches(rows, schema=passed.schema)])
 
     return run
 
 
+_SET = "key long, id long, size long, sum_a long, sum_b long, n_shared long, shared binary"
 _SET_SCHEMA = pa.schema(
-    [
-        ("id", pa.int64()),
-        ("size", pa.int64()),
-        ("sum_a", pa.int64()),
-        ("sum_b", pa.int64()),
-        ("n_shared", pa.int64()),
-        ("shared", pa.binary()),
-    ]
+    [(name, pa.int64()) for name in ("key", "id", "size", "sum_a", "sum_b", "n_shared")] + [("shared", pa.binary())]
 )
-_SET = "id long, size long, sum_a long, sum_b long, n_shared long, shared binary"
 
 
 def _ordered_sets(percent: int):
-    """One row per text; ``shared`` has its shared shingles by rarity, or null if too few."""
+    """One row per row of the table.
+
+    ``shared`` has the shared shingles of the text by rarity, once for equal rows, or null if
+    there are too few.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        hashes, ids, held_by = unpack(of_kind(table, SHINGLES), _SHARED)
-        texts = np.stack(unpack(of_kind(table, TEXTS), _TEXT), axis=1)
-        texts = texts[np.lexsort(texts.T[::-1])]
-        last = np.ones(len(texts), dtype=bool)
-        last[:-1] = texts[1:, 0] != texts[:-1, 0]
-        texts = texts[last]
-        order = np.lexsort((hashes, held_by, ids))
-        hashes, ids = hashes[order], ids[order]
-        start, stop = np.searchsorted(ids, texts[:, 0]), np.searchsorted(ids, texts[:, 0], side="right")
+        hashes, keys, held_by = unpack(of_kind(table, SHINGLES), _SHARED)
+        own, ids, has_id, size, sum_a, sum_b = unpack(of_kind(table, TEXTS), _TEXT)
+        by_key = np.argsort(own, kind="stable")
+        own, ids, has_id, size, sum_a, sum_b = (c[by_key] for c in (own, ids, has_id, size, sum_a, sum_b))
+        first = np.ones(len(own), dtype=bool)
+        first[1:] = own[1:] != own[:-1]
+        order = np.lexsort((hashes, held_by, keys))
+        hashes, keys = hashes[order], keys[order]
+        start, stop = np.searchsorted(keys, own), np.searchsorted(keys, own, side="right")
         count = stop - start
-        enough = (count >= needed(texts[:, 1], percent)) & (count > 0)
+        enough = first & (count >= needed(size, percent)) & (count > 0)
         shared = [hashes[a:b].tobytes() if ok else None for a, b, ok in zip(start, stop, enough, strict=True)]
         return pa.Table.from_arrays(
-            [*(pa.array(texts[:, i]) for i in range(4)), pa.array(count), pa.array(shared, pa.binary())],
+            [
+                pa.array(own),
+                pa.array(ids, mask=has_id == 0),
+                *(pa.array(c) for c in (size, sum_a, sum_b, count)),
+                pa.array(shared, pa.binary()),
+            ],
             schema=_SET_SCHEMA,
         )
 
     return run
 
 
-def _prefixes(percent: int):
+def size_block(size: int | np.ndarray, percent: int) -> np.ndarray:
+    """Blocks of sizes: partners are in one block, or in two that follow each other."""
+    return np.floor(np.log(np.maximum(size, 1)) / np.log(100 / percent) + 1e-9).astype(np.int64)
+
+
+def largest_partner(size: np.ndarray, position: np.ndarray, percent: int) -> np.ndarray:
+    """The most shingles of a partner whose first common shingle is at this position.
+
+    Both share what is there and after at most: ``overlap <= size - position``.
+    """
+    by_size = 100 * size // percent
+    by_position = (100 + percent) * (size - position) // percent - size
+    return np.minimum(by_size, by_position)
+
+
+def list_entries(size: int, own: int, count: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places among a text's shared shingles, and the blocks of their lists that it goes to.
+
+    Its prefix is listed in the block of its own size, and in the next one where a partner that
+    large can begin at this position. A position with no partner at all is not listed.
+    """
+    kept = min(max(size - needed(size, percent) + 1 - own, 0), count)
+    place = np.arange(kept)
+    most = largest_partner(np.full(kept, size), own + place, percent)
+    home, reach = size_block(size, percent), size_block(most, percent)
+    some = most >= needed(size, percent)
+    further = some & (reach > home)
+    return np.concatenate([place[some], place[further]]), np.concatenate(
+        [np.full(some.sum(), home), np.full(further.sum(), home + 1)]
+    ).astype(np.int32)
+
+
+def _lists(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, counts = (np.asarray(batch.column(i)) for i in range(3))
+            keys, sizes, counts = (np.asarray(batch.column(i)) for i in range(3))
             own = sizes - counts
-            kept = np.maximum(sizes - needed(sizes, percent) + 1 - own, 0)
-            parts = [
-                np.frombuffer(s.as_buffer(), dtype="<i8")[:k] for s, k in zip(batch.column(3), kept, strict=True)
-            ]
-            taken = np.array([len(p) for p in parts], dtype=np.int64)
+            shingles, blocks, taken = [np.zeros(0, "<i8")], [np.zeros(0, np.int32)], []
+            for shared, size, lone, count in zip(batch.column(3), sizes, own, counts, strict=True):
+                place, block = list_entries(int(size), int(lone), int(count), percent)
+                shingles.append(np.frombuffer(shared.as_buffer(), dtype="<i8")[place])
+                blocks.append(block)
+                taken.append(len(place))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64()),
-                    pa.array(np.repeat(ids, taken)),
+                    pa.array(np.concatenate(shingles)),
+                    pa.array(np.concatenate(blocks)),
+                    pa.array(np.repeat(keys, taken)),
                     pa.array(np.repeat(own, taken)),
                 ],
-                names=["shingle", "member", "own"],
+                names=["shingle", "block", "member", "own"],
             )
 
     return run
@@ -294,22 +341,22 @@ def _group_links(percent: int):
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links between classes of equal sets: enough of them to connect what is connected."""
     buckets = bucket_count(sets.sparkSession, 4)
-    one_each = sets.where("size > 0").groupBy("size", "sum_a", "sum_b").agg(F.min("id").alias("id"))
+    one_each = sets.where("size > 0").groupBy("size", "sum_a", "sum_b").agg(F.min("key").alias("key"))
     able = sets.where(F.col("shared").isNotNull())
-    able = stage(able.join(one_each.select("id"), "id", "left_semi"), "able")
-    lists = able.select("id", "size", "n_shared", "shared").mapInArrow(
-        _prefixes(percent), "shingle long, member long, own long"
+    able = stage(able.join(one_each.select("key"), "key", "left_semi"), "able")
+    lists = able.select("key", "size", "n_shared", "shared").mapInArrow(
+        _lists(percent), "shingle long, block int, member long, own long"
     )
     leaders = (
-        lists.groupBy("shingle")
+        lists.groupBy("shingle", "block")
         .agg(F.min(F.struct("own", "member")).alias("first"), F.count("*").alias("held"))
         .where("held > 1")
-        .select("shingle", F.col("first.member").alias("leader"))
+        .select("shingle", "block", F.col("first.member").alias("leader"))
     )
-    pairs = lists.join(leaders, "shingle").where("leader != member").select("leader", "member").distinct()
-    of_member = able.select(F.col("id").alias("member"), "size", "shared")
+    pairs = lists.join(leaders, ["shingle", "block"]).where("leader != member").select("leader", "member").distinct()
+    of_member = able.select(F.col("key").alias("member"), "size", "shared")
     of_leader = able.select(
-        F.col("id").alias("leader"), F.col("size").alias("leader_size"), F.col("shared").alias("leader_shared")
+        F.col("key").alias("leader"), F.col("size").alias("leader_size"), F.col("shared").alias("leader_shared")
     )
     told = stage(
         pairs.join(of_member, "member").join(of_leader, "leader").mapInArrow(_differences, _DIFF), "differences"
@@ -321,7 +368,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         told.groupBy("leader")
         .agg(F.count("*").alias("members"), F.count_if("asks").alias("asking"))
         .where("members > 1 and asking > 0")
-        .select("leader", F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int").alias("blocks"))
+        .withColumn("of", F.greatest(F.lit(FEWEST_MEMBERS), F.least(F.col("members") / MOST_BLOCKS, F.lit(MOST_MEMBERS))))
+        .select("leader", F.ceil(F.col("members") / F.col("of")).cast("int").alias("blocks"))
     )
     placed = told.join(sizes, "leader").withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -340,35 +388,40 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 4, percent: int = 85
 ) -> DataFrame:
-    """``id_column``, ``n_shingles`` and ``component_id`` of every text.
+    """``id_column``, ``n_shingles`` and ``component_id`` of every row.
 
     Texts link when ``100 * |x & y| >= percent * |x or y|`` over their distinct ``words``-word
     shingles; ``component_id`` is the smallest id that links reach. Words are between ASCII
     spaces, A-Z read as a-z; a text of fewer words is one shingle. Null, empty and blank texts
-    have no shingle and link with nothing. Rows without an id are left out; ids are expected
-    to be unique, and an id that is repeated counts once, with the shingles of all its rows. Other columns
-    are not read. An empty table gives an empty result.
+    have no shingle and link with nothing. Each row is judged by its own text, also one of a
+    repeated id; a row without an id has a component as well, whose id is null only if no row in
+    it has one. Texts of any length are read whole. Other columns are not read. An empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     # Shingles are many: small buckets. What is sent back to a text's home is a fraction of them.
     buckets, homes = bucket_count(spark, 4), bucket_count(spark)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    packed = texts.where("id is not null").mapInArrow(_pack_sets(words, buckets, homes), PACKED)
+    keyed = texts.select(F.xxhash64("id", F.lit("/"), "text").alias("key"), "text", "id")
+    packed = keyed.mapInArrow(_pack_sets(words, buckets, homes), PACKED)
     shared = packed.groupBy("bucket").applyInArrow(_shared_shingles(homes), PACKED)
     sets = stage(shared.groupBy("bucket").applyInArrow(_ordered_sets(percent), _SET), "sets")
-    labels = components(_links(sets, percent)).select(F.col("node").alias("first_id"), "label")
-    # Written first: then the last join is of two plain shuffles, and Spark can split a class with
-    # a large part of all texts.
-    classes = stage(
+    labels = components(_links(sets, percent)).select(F.col("node").alias("first_key"), "label")
+    same = ["size", "sum_a", "sum_b"]
+    classes = (
         sets.where("size > 0")
-        .groupBy("size", "sum_a", "sum_b")
-        .agg(F.min("id").alias("first_id"))
-        .join(labels, "first_id", "left")
-        .select("size", "sum_a", "sum_b", F.coalesce("label", "first_id").alias("component_id")),
-        "classes",
+        .groupBy(*same)
+        .agg(F.min("key").alias("first_key"), F.min("id").alias("first_id"))
+        .join(labels, "first_key", "left")
+        .select(*same, "first_id", F.coalesce("label", "first_key").alias("label"))
     )
-    return sets.join(classes, ["size", "sum_a", "sum_b"], "left").select(
+    classes = stage(classes, "classes")
+    smallest = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    # Written first: then the last join is of two plain shuffles, and Spark can split a class with
+    # a large part of all texts.
+    named = stage(classes.join(smallest, "label").select(*same, "component_id"), "components")
+    return sets.join(named, same, "left").select(
         F.col("id").alias(id_column),
         F.col("size").alias("n_shingles"),
-        F.coalesce("component_id", "id").alias("component_id"),
+        F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )

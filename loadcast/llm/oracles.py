@@ -8,7 +8,8 @@ _PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _words(table: str, key: str, text: str, pattern: str) -> str:
-    return f"SELECT {key}, coalesce(regexp_extract_all({text}, '{pattern}'), []) AS w FROM {table}"
+    # Each row for itself: an id may be repeated or missing.
+    return f"SELECT row_number() OVER () AS r, {key}, coalesce(regexp_extract_all({text}, '{pattern}'), []) AS w FROM {table}"
 
 
 CONTAMINATION = f"""
@@ -18,32 +19,33 @@ windows AS (
   SELECT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS passage
   FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
 places AS (
-  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS passage
-  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows))),
-hits AS (SELECT doc_id, item_id, places.n, i FROM places JOIN windows USING (passage, n)),
-covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY 1),
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS passage
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows))),
+hits AS (SELECT places.r, item_id, places.n, i FROM places JOIN windows USING (passage, n)),
+covered AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hits) GROUP BY 1),
 found AS (
-  SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY 1)
+  SELECT r, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY 1)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)"""
 
 JACCARD = f"""
 WITH RECURSIVE docs AS ({_words("documents", "doc_id", _LOWER, _SPACED)}),
 shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS s
   FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
-sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY 1),
 pairs AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
-  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  SELECT a.r AS a, b.r AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2),
 links AS (
-  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  SELECT a, b FROM pairs JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
   WHERE 100 * common >= 85 * (x.n + y.n - common)),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+reach AS (SELECT r AS a, r AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+lowest AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.b GROUP BY 1)
 SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id
-FROM docs LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) USING (doc_id)"""
+FROM docs LEFT JOIN sizes USING (r) JOIN lowest USING (r)"""
 
 LINES = r"""
 WITH rows_ AS (
@@ -92,16 +94,16 @@ FROM ranked JOIN plan ON plan.k = ranked.k AND turn = (r // 16) % quota, ends"""
 REPEATS = f"""
 WITH docs AS ({_words("documents", "doc_id", "text", _SPACED)}),
 windows AS (
-  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS passage
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS passage
   FROM (SELECT *, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)),
 repeated AS (SELECT passage FROM windows GROUP BY 1 HAVING count(*) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS k FROM windows JOIN repeated USING (passage)),
-each AS (SELECT doc_id, k, w[k] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM docs)),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM windows JOIN repeated USING (passage)),
+each AS (SELECT r, k, w[k] AS word FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS k FROM docs)),
 kept AS (
-  SELECT doc_id, count(gone.k) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY k) FILTER (gone.k IS NULL), '') AS text
-  FROM each LEFT JOIN gone USING (doc_id, k) GROUP BY 1)
+  SELECT r, count(gone.k) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY k) FILTER (gone.k IS NULL), '') AS text
+  FROM each LEFT JOIN gone USING (r, k) GROUP BY 1)
 SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
-FROM docs LEFT JOIN kept USING (doc_id)"""
+FROM docs LEFT JOIN kept USING (r)"""
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": CONTAMINATION,

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadcast.llm.decontam import contamination
-from loadcast.llm.jaccard import jaccard_components
+from loadcast.llm.jaccard import jaccard_components, list_entries
 from loadcast.llm.phrases import covered_words, remove_repeats
 from loadcast.llm.quality import quality
 from loadcast.llm.words import alphanumeric, spaced, split_words
@@ -99,12 +99,44 @@ def test_jaccard_components(docs, corpus):
 
 
 def test_jaccard_rows_without_id_repeats_and_empty(spark):
-    rows = [(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (2, "A B c d e"), (3, None), (4, "")]
-    got = {tuple(r) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {(1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 0, 4)}
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (2, "A B c d e"), (3, None), (4, ""), (None, "p q r s")]
+    got = sorted(map(str, map(tuple, jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
+    want = [(1, 2, 1), (1, 2, 1), (None, 2, 1), (2, 2, 1), (3, 0, 3), (4, 0, 4), (None, 1, None)]
+    assert got == sorted(map(str, want))
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_jaccard_rows_of_one_id_are_judged_apart(spark):
+    """One id with two texts links with the copies of either, and joins nothing else."""
+    a, b = (" ".join(f"{c}{i}" for i in range(100)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a), (3, b), (None, a + " more"), (0, a + " more"), (9, "x" * 1_200_000 + " y" * 300_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash")).withColumn("size", F.lit(1))
+    got = sorted(map(str, map(tuple, jaccard_components(table).collect())))
+    want = [(1, 97, 0), (1, 97, 1), (2, 97, 0), (3, 97, 1), (None, 98, 0), (0, 98, 0), (9, 2, 9)]
+    assert got == sorted(map(str, want))
+
+
+def test_jaccard_lists_skip_only_what_cannot_link():
+    """Every linked pair meets in a block of the list of its first common shingle."""
+    rng = np.random.default_rng(3)
+    skipped = 0
+    for percent in (80, 85, 95):
+        for _ in range(300):
+            size = rng.integers(1, 60)
+            x = np.sort(rng.choice(90, size=size, replace=False))
+            y = np.sort(np.unique(np.concatenate([x[rng.random(size) > 0.06], rng.choice(90, size=rng.integers(1, 6))])))
+            listed = []
+            for v in (x, y):
+                place, block = list_entries(len(v), 0, len(v), percent)
+                listed.append({(int(v[p]), int(b)) for p, b in zip(place, block, strict=True)})
+                skipped += 2 * len(set(place.tolist())) > len(place)
+            common = len(np.intersect1d(x, y))
+            if 100 * common >= percent * (len(x) + len(y) - common):
+                first = int(np.intersect1d(x, y)[0])
+                assert {b for s, b in listed[0] if s == first} & {b for s, b in listed[1] if s == first}
+    assert skipped
+
+
 def repeats(corpus, window):
     count, words = collections.Counter(), []
     for _, t, *_ in corpus:
