@@ -154,7 +154,61 @@ FROM binned GROUP BY {key}low, high, bin"""
 RESIDUALS = """
 residuals AS (SELECT *, lag_168 AS prediction, y - lag_168 AS residual, abs(y - lag_168) AS absolute_error FROM frame)"""
 
+VIEW = PANEL_SCORED + """,
+bounds AS (SELECT CAST(max(ts) AS DATE) AS last, greatest(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE) - 29) AS first FROM scored),
+shown AS (SELECT s.*, absolute_residual AS absolute_error FROM scored s, bounds WHERE ts >= first AND ts < last + INTERVAL 1 DAY),
+events_shown AS (SELECT * FROM shown WHERE is_anomaly)"""
+
+SAMPLE = f"""SELECT series_id, ts, y, prediction FROM shown
+  ORDER BY md5(concat_ws('|', series_id, CAST(ts AS VARCHAR), '{SAMPLE_SEED}')), series_id, ts LIMIT {SAMPLE_ROWS}"""
+
 ORACLES: dict[str, str] = {
+    "view_predictions": VIEW + """
+      SELECT series_id, ts, round(y, 6) AS y, round(prediction, 6) AS prediction, round(residual, 6) AS residual,
+        round(absolute_error, 6) AS absolute_error FROM shown""",
+    "view_anomalies": VIEW + f"SELECT {SCORED} FROM events_shown",
+    "view_metrics": VIEW + f"""
+      SELECT round(MAE, 6) AS mae, round(RMSE, 6) AS rmse, round(MAPE, 6) AS mape FROM (SELECT {METRICS} FROM shown)""",
+    "view_quality": VIEW + """
+      SELECT round(1 - sum(residual * residual) / (count(*) * var_pop(y)), 6) AS r2, round(avg(residual), 6) AS bias,
+        round(quantile_cont(absolute_error, 0.5), 6) AS median_absolute_error,
+        round(quantile_cont(absolute_error, 0.95), 6) AS p95_absolute_error FROM shown""",
+    "view_severity_mix": VIEW + """
+      SELECT CAST(l.level AS INTEGER) AS level, l.severity, count(a.series_id) AS count
+      FROM (VALUES (1, 'moderate'), (2, 'high'), (3, 'critical')) l(level, severity)
+      LEFT JOIN events_shown a USING (severity) GROUP BY l.level, l.severity""",
+    "view_direction_mix": VIEW + """,
+      counts AS (SELECT count(*) FILTER (direction = 'spike') AS spike_count,
+                        count(*) FILTER (direction = 'drop') AS drop_count FROM events_shown)
+      SELECT spike_count, drop_count,
+        round(coalesce(100.0::DOUBLE * spike_count / nullif(spike_count + drop_count, 0), 0), 6) AS spike_pct,
+        round(coalesce(100.0::DOUBLE * drop_count / nullif(spike_count + drop_count, 0), 0), 6) AS drop_pct,
+        CASE WHEN spike_count > drop_count THEN 'SPIKES' WHEN drop_count > spike_count THEN 'DROPS'
+             ELSE 'BALANCED' END AS dominant_direction FROM counts""",
+    "view_histogram": VIEW + ", " + histogram("shown"),
+    "view_rolling_mae": VIEW + f"""
+      SELECT series_id, ts, round(absolute_error, 6) AS absolute_error,
+        round(CASE WHEN count(absolute_error) {OVER} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) >= 24
+          THEN avg(absolute_error) {OVER} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) END, 6) AS rolling_mae_7d
+      FROM shown""",
+    "view_sample": VIEW + f"SELECT series_id, ts, round(y, 6) AS y, round(prediction, 6) AS prediction FROM ({SAMPLE})",
+    "view_calibration_bounds": VIEW + f"""
+      SELECT round(least(min(y), min(prediction)), 6) AS min_value, round(greatest(max(y), max(prediction)), 6) AS max_value
+      FROM ({SAMPLE})""",
+    "view_top_events": VIEW + """
+      SELECT ts AS shown_timestamp, round_even(y, 1) AS shown_actual_mw, round_even(prediction, 1) AS shown_forecast_mw,
+        round_even(residual, 1) AS shown_residual_mw, round_even(severity_score, 2) AS shown_severity_score,
+        direction AS shown_direction, severity AS shown_severity
+      FROM events_shown ORDER BY severity_score DESC, ts LIMIT 20""",
+    "view_counts": VIEW + """
+      SELECT count(*) FILTER (direction = 'spike') AS spike_count, count(*) FILTER (direction = 'drop') AS drop_count,
+        count(*) FILTER (severity = 'critical') AS critical_count FROM events_shown""",
+    "stored_artifacts": with_frame(PANEL, scoring(), FOLDS) + """
+      SELECT state, (SELECT count(*) FROM scored) AS predictions_rows,
+        CASE WHEN state = 'all' THEN (SELECT count(*) FROM anomalies) ELSE 0 END AS anomalies_rows,
+        CASE WHEN state = 'all' THEN 3 ELSE 0 END::BIGINT AS comparison_rows, 0::BIGINT AS importance_rows,
+        CASE WHEN state = 'all' THEN (SELECT 3 * count(DISTINCT fold) FROM placed WHERE fold IS NOT NULL) ELSE 0 END AS backtest_rows
+      FROM (VALUES ('required only'), ('all')) v(state)""",
     "load_series": """
       SELECT o_orderstatus, o_orderdate, o_totalprice, o_orderkey, o_custkey, o_orderpriority FROM (
         SELECT *, row_number() OVER (PARTITION BY o_orderstatus, o_orderdate

@@ -34,6 +34,7 @@ from loadcast.plans import (
     compare_models,
     comparison_record,
     comparison_table,
+    daily_tables,
     detect,
     detect_within,
     final_evaluation,
@@ -42,13 +43,23 @@ from loadcast.plans import (
     monitoring_view,
     prepare,
     select_model,
+    stored_view,
     train_baseline,
 )
 from loadcast.plans.backtest import fold_row_counts
 from loadcast.plans.training import run_metadata
 from loadcast.schema import CANDIDATE_MODELS, FEATURE_COLUMNS, SeriesColumns
 from loadcast.session import stage, staging_dir
-from loadcast.sources import load_model, load_predictions, load_record, load_series, save_model, save_record, write_table
+from loadcast.sources import (
+    load_model,
+    load_predictions,
+    load_record,
+    load_series,
+    save_model,
+    save_record,
+    write_by_day,
+    write_table,
+)
 
 from .fixtures import (
     daily_orders,
@@ -456,6 +467,63 @@ def monitoring_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def view(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The whole view of the default window, from predictions stored by day and their day rows."""
+    cols = SeriesColumns()
+    found = detection(spark, sf_dir, staged=True)
+    predictions = spark.read.parquet(write_by_day(found.scored, scratch(spark, "by-day"), cols))
+    events = spark.read.parquet(write_by_day(found.anomalies, scratch(spark, "events-by-day"), cols))
+    return monitoring_view(
+        predictions, events, layout=panel_layout(spark, sf_dir), daily=daily_tables(predictions, events, cols)
+    )
+
+
+def view_table(name: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
+    """One table of the view, with these columns if any are named."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = view(spark, sf_dir)[name]
+        return rounded(found.select(*columns) if columns else found)
+
+    return run
+
+
+def view_top_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The display names with underscores: SQL names ignore case and dislike blanks."""
+    found = view(spark, sf_dir)["top_events"]
+    return found.select(*(F.col(f"`{c}`").alias(f"shown_{c.lower().replace(' ', '_')}") for c in found.columns))
+
+
+def stored_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view of a folder without optional tables, and then with them: empty, then as written."""
+    frame, _ = panel_frame(spark, sf_dir)
+    found = detection(spark, sf_dir, staged=True)
+    out = scratch(spark, "stored")
+    write_table(found.scored.select("series_id", "ts", "y", "prediction"), f"{out}/predictions/final_test", "csv")
+    record = run_metadata(frame, "y")
+    save_record(record, f"{out}/metrics/final_test_metrics")
+    save_record(record, f"{out}/metrics/anomaly_summary")
+    counts = []
+    for state in ("required only", "all"):
+        shown = stored_view(spark, out, dt.date(1990, 1, 1), dt.date(2030, 1, 1))
+        tables = {
+            "predictions": shown.tables["predictions"],
+            "anomalies": shown.tables["anomalies"],
+            "comparison": shown.comparison,
+            "importance": shown.importance,
+            "backtest": shown.backtest,
+        }
+        numbers = [F.lit(t.count()).cast("long").alias(f"{n}_rows") for n, t in tables.items()]
+        counts.append(record.select(F.lit(state).alias("state"), *numbers))
+        write_table(found.anomalies, f"{out}/anomalies/final_test", "csv")
+        compared = comparison_table(long_form(sp.part(frame, "validation")))
+        zeros = [F.lit(0.0).alias(n) for n in ("train_seconds", "predict_seconds")]
+        series = F.lit("all").alias("series_id")
+        write_table(compared.select(series, "model", "MAE", "RMSE", "MAPE", *zeros), f"{out}/metrics/model_comparison_table")
+        write_table(fold_results(frame, []).select(series, "fold", "model", "MAE", "RMSE", "MAPE", *zeros), f"{out}/metrics/backtest_results")
+    return counts[0].unionByName(counts[1])
+
+
 # --- backtest, comparison, selection ----------------------------------------------
 
 
@@ -805,6 +873,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_text": label_text,
     "seeded_sample": seeded_sample,
     "monitoring_metrics": monitoring_metrics,
+    "view_predictions": view_table("predictions", "series_id", "ts", "y", "prediction", "residual", "absolute_error"),
+    "view_anomalies": view_table("anomalies", *SCORED),
+    "view_metrics": view_table("metrics"),
+    "view_quality": view_table("quality"),
+    "view_severity_mix": view_table("severity_mix"),
+    "view_direction_mix": view_table("direction_mix"),
+    "view_histogram": view_table("histogram"),
+    "view_rolling_mae": view_table("rolling_mae", "series_id", "ts", "absolute_error", "rolling_mae_7d"),
+    "view_sample": view_table("sample", "series_id", "ts", "y", "prediction"),
+    "view_calibration_bounds": view_table("calibration_bounds"),
+    "view_top_events": view_top_events,
+    "view_counts": view_table("counts"),
+    "stored_artifacts": stored_artifacts,
     "expanding_folds": expanding_folds,
     "fold_bounds": fold_bounds,
     "fold_counts": fold_counts,

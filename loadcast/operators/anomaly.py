@@ -177,12 +177,22 @@ def severity_counts(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return anomalies.groupBy(*by, "severity").agg(F.count(F.lit(1)).alias("count"))
 
 
-def severity_mix(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def _occurrences(condition: Column, weight: str | None) -> Column:
+    """Rows that meet a condition, or with a ``weight`` column the sum of it over them."""
+    if weight is None:
+        return F.count_if(condition)
+    return F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0)).cast("bigint")
+
+
+def severity_mix(anomalies: DataFrame, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """All three levels in fixed order, zero where none occurred.
 
-    Counted in one pass and unpivoted, so no join is needed for the zeros.
+    Counted in one pass and unpivoted, so no join is needed for the zeros. With a ``weight``
+    column a row stands for so many anomalies.
     """
-    counts = anomalies.groupBy(*by).agg(*[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITY_LEVELS])
+    counts = anomalies.groupBy(*by).agg(
+        *[_occurrences(F.col("severity") == s, weight).alias(s) for s in SEVERITY_LEVELS]
+    )
     levels = F.array(
         *[
             F.struct(F.lit(i).alias("level"), F.lit(s).alias("severity"), F.col(s).alias("count"))
@@ -192,11 +202,20 @@ def severity_mix(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.select(*by, F.inline(levels))
 
 
-def direction_mix(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def event_counts(anomalies: DataFrame, weight: str | None = None) -> DataFrame:
+    """Spikes, drops and critical cases; one row, zeros without anomalies."""
+    return anomalies.agg(
+        _occurrences(F.col("direction") == "spike", weight).alias("spike_count"),
+        _occurrences(F.col("direction") == "drop", weight).alias("drop_count"),
+        _occurrences(F.col("severity") == "critical", weight).alias("critical_count"),
+    )
+
+
+def direction_mix(anomalies: DataFrame, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Spikes and drops, their shares of both, and which dominates."""
     counts = anomalies.groupBy(*by).agg(
-        F.count_if(F.col("direction") == "spike").alias("spike_count"),
-        F.count_if(F.col("direction") == "drop").alias("drop_count"),
+        _occurrences(F.col("direction") == "spike", weight).alias("spike_count"),
+        _occurrences(F.col("direction") == "drop", weight).alias("drop_count"),
     )
     spikes, drops = F.col("spike_count"), F.col("drop_count")
 

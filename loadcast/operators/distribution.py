@@ -4,24 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: most bins a histogram has.
 HISTOGRAM_BINS = 55
 
 
-def histogram(df: DataFrame, column: str = "residual", bins: int = HISTOGRAM_BINS, by: Sequence[str] = ()) -> DataFrame:
+def histogram(
+    df: DataFrame,
+    column: str = "residual",
+    bins: int = HISTOGRAM_BINS,
+    by: Sequence[str] = (),
+    ends: tuple[Column, Column] | None = None,
+) -> DataFrame:
     """Counts over equal bins between the smallest and largest value, which falls in the last bin.
 
     Two aggregations: bounds, then counts. Both combine before the shuffle, and
-    without groups the bounds are a scalar subquery.
+    without groups the bounds are a scalar subquery. ``ends`` gives bounds already known.
     """
     by = list(by)
     value = F.col(column)
     bounds = df.groupBy(*by).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     rows = df.select(*by, value)
-    if by:
+    if ends and not by:
+        placed = rows.withColumns(dict(zip(("_low", "_high"), ends, strict=True)))
+    elif by:
         placed = rows.join(bounds, by)
     else:
         placed = rows.withColumns({name: bounds.select(name).scalar() for name in ("_low", "_high")})

@@ -7,15 +7,23 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ..functions.calendar import day_window
 from ..functions.errors import error_columns
-from ..schema import DEFAULT_COLUMNS, SeriesColumns, require_columns
+from ..schema import DAY, DEFAULT_COLUMNS, SeriesColumns, require_columns
 
 
 def in_days(df: DataFrame, start: dt.date, end: dt.date, cols: SeriesColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """Rows of the days ``start`` to ``end``, both whole."""
-    return df.where(day_window(F.col(cols.time), start, end))
+    """Rows of the days ``start`` to ``end``, both whole.
+
+    Of a table stored by day the days themselves are compared, too, so that only their folders
+    are listed and read.
+    """
+    shown = day_window(F.col(cols.time), start, end)
+    if DAY in df.columns and isinstance(df.schema[DAY].dataType, DateType):
+        shown &= F.col(DAY).between(F.lit(start), F.lit(end))
+    return df.where(shown)
 
 
 def members(df: DataFrame, column: str, selected: Sequence[str]) -> DataFrame:

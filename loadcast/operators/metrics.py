@@ -76,6 +76,15 @@ def forecast_quality(
     return measured.select(*by, *[F.coalesce(F.col(n), F.lit(float("nan"))).alias(n) for n in names])
 
 
+def error_quantiles(
+    df: DataFrame, actual: str = "y", predicted: str = "prediction", hot: bool | None = None
+) -> DataFrame:
+    """Median and 95th-percentile absolute error of all rows; NaN where there are none."""
+    wanted = {"median_absolute_error": 0.5, "p95_absolute_error": 0.95}
+    found = group_quantiles(df, (), F.abs(F.col(actual) - F.col(predicted)), wanted, hot=hot)
+    return found.select(*[F.coalesce(F.col(n), F.lit(float("nan"))).alias(n) for n in wanted])
+
+
 def residual_diagnostics(
     df: DataFrame, by: Sequence[str] = (), actual: str = "y", predicted: str = "prediction", hot: bool | None = None
 ) -> DataFrame:

@@ -6,16 +6,18 @@ from .detection import Detection, calibrate_and_detect, detect, detect_within
 from .diagnostics import analyze
 from .final import FinalEvaluation, final_evaluation
 from .integrity import integrity_status
-from .monitoring import monitoring_view
+from .monitoring import daily_tables, monitoring_view
 from .prepare import prepare
 from .run import Run
 from .selection import select_model
+from .stored import StoredView, stored_view
 from .training import TrainingRun, train_baseline
 
 __all__ = [
     "Detection",
     "FinalEvaluation",
     "Run",
+    "StoredView",
     "TrainingRun",
     "analyze",
     "backtest",
@@ -24,6 +26,7 @@ __all__ = [
     "compare_models",
     "comparison_record",
     "comparison_table",
+    "daily_tables",
     "detect",
     "detect_within",
     "final_evaluation",
@@ -32,5 +35,6 @@ __all__ = [
     "monitoring_view",
     "prepare",
     "select_model",
+    "stored_view",
     "train_baseline",
 ]

@@ -15,6 +15,7 @@ from ..operators.models import predict, random_forest, timed_fit
 from ..operators.split import development, part
 from ..schema import DEFAULT_COLUMNS, RANDOM_FOREST, TEST, SeriesColumns
 from ..session import stage
+from ..sources.claims import claim_once
 from .selection import confirm_untouched
 
 
@@ -31,17 +32,22 @@ def final_evaluation(
     cols: SeriesColumns = DEFAULT_COLUMNS,
     estimator: Pipeline | None = None,
     expected: str = RANDOM_FOREST,
+    claim: str | None = None,
 ) -> FinalEvaluation:
     """Fit on train and validation, score the test rows once, record both models' metrics.
 
-    Refused when another model was selected or the test rows were used before.
-    The returned record says they are used up.
+    Refused when another model was selected or the selection does not say that the test rows
+    are untouched. With a ``claim``, a folder beside the results, it is also refused when any
+    application has scored them before: the folder is claimed after the fit and before the first
+    test row is read. The returned record says they are used up.
     """
     chosen = selection.select("selected_model").first()[0]
     if chosen != expected:
         raise ValueError(f"Final evaluation expected {expected}, but selection artifact contains {chosen}.")
     confirm_untouched(selection, "Selection")
     model, train_seconds = timed_fit(estimator or random_forest(cols.target), development(frame), cols)
+    if claim is not None:
+        claim_once(frame.sparkSession, claim, "Reserved test rows")
     started = time.perf_counter()
     scored = stage(
         predict(model, part(frame, TEST))

@@ -6,21 +6,37 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.calendar import default_window
-from ..operators.anomaly import direction_mix, severity_mix
+from ..operators.anomaly import direction_mix, event_counts, severity_mix
+from ..operators.daily import (
+    Daily,
+    daily_errors,
+    daily_events,
+    day_bounds,
+    merged_events,
+    merged_fit,
+    merged_metrics,
+    residual_range,
+)
 from ..operators.distribution import calibration_bounds, histogram
 from ..operators.filters import in_days, members, report, with_errors
 from ..operators.history import rolling_mae
 from ..operators.layout import Layout
-from ..operators.metrics import forecast_quality, time_bounds, window_metrics
+from ..operators.metrics import error_quantiles
 from ..operators.ranking import most_severe, seeded_sample
 from ..schema import DEFAULT_COLUMNS, DIRECTIONS, SEVERITY_LEVELS, SeriesColumns
+from ..session import stage
 
 TOP_EVENTS = 20
 
 
+def daily_tables(predictions: DataFrame, anomalies: DataFrame, cols: SeriesColumns = DEFAULT_COLUMNS) -> Daily:
+    """The day rows of both tables, staged: what a store would keep and append new days to."""
+    predictions = with_errors(predictions, cols)
+    return Daily(stage(daily_errors(predictions, cols), "days"), stage(daily_events(anomalies, cols), "event-days"))
+
+
 def monitoring_view(
     predictions: DataFrame,
     anomalies: DataFrame,
@@ -30,40 +46,50 @@ def monitoring_view(
     directions: Sequence[str] = tuple(DIRECTIONS),
     cols: SeriesColumns = DEFAULT_COLUMNS,
     layout: Layout | None = None,
+    daily: Daily | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of the view. Without dates, the last 30 days of the data.
 
-    The default window needs a job up front, from which two dates come back. With
-    short series all else is lazy; a long one is ordered, and its quantiles found,
-    when the view is built. Without a layout the chosen window itself is measured.
+    The tables are read twice at most: once for the day rows, which give the dates, the metrics,
+    the counts and the histogram's ends, and once for the rows of the window, which are staged.
+    Only quantiles, the histogram's counts, the rolling error, the sample and the top events read
+    those. With ``daily`` rows at hand, or both dates, the first pass is not needed; of
+    predictions stored by day the second reads the window's folders only. Without a layout the
+    chosen window itself is measured.
     """
     predictions = with_errors(predictions, cols)
+    if daily is None and (start is None or end is None):
+        daily = daily_tables(predictions, anomalies, cols)
     if start is None or end is None:
-        found = time_bounds(predictions, cols.time).first()
+        found = day_bounds(daily.errors).first()
         first, last = default_window(found["min_date"], found["max_date"])
         start, end = start or first, end or last
-    shown = in_days(predictions, start, end, cols)
-    events = members(members(in_days(anomalies, start, end, cols), "severity", severities), "direction", directions)
+    shown = stage(in_days(predictions, start, end, cols), "shown")
+    flagged = stage(in_days(anomalies, start, end, cols), "shown-events")
+    events = members(members(flagged, "severity", severities), "direction", directions)
+    days = (daily or Daily(daily_errors(shown, cols), daily_events(flagged, cols))).window(start, end)
+    counted = merged_events(days.events, severities, directions)
     sample = seeded_sample(shown, cols=cols)
     # One group over all series: its size is that of the whole window, not of a series.
     hot = layout.always_blocks or layout.n_rows > layout.rows_per_task if layout else None
+    middle = error_quantiles(shown, cols.target, hot=hot)
+    # One row, written: its scalars would otherwise be nested in those of a reader.
+    quality = stage(
+        merged_fit(days.errors).select("*", *(middle.select(c).scalar().alias(c) for c in middle.columns)), "quality"
+    )
     return {
         "predictions": shown,
         "anomalies": events,
-        "metrics": window_metrics(shown, cols.target),
-        "quality": forecast_quality(shown, (), cols.target, hot=hot),
-        "severity_mix": severity_mix(events),
-        "direction_mix": direction_mix(events),
-        "histogram": histogram(shown),
+        "metrics": merged_metrics(days.errors),
+        "quality": quality,
+        "severity_mix": severity_mix(counted, weight="count"),
+        "direction_mix": direction_mix(counted, weight="count"),
+        "histogram": histogram(shown, ends=residual_range(days.errors)),
         "rolling_mae": rolling_mae(shown, cols, layout=layout),
         "sample": sample,
         "calibration_bounds": calibration_bounds(sample, cols.target),
         "top_events": top_events(events, cols=cols),
-        "counts": events.agg(
-            F.count_if(F.col("direction") == "spike").alias("spike_count"),
-            F.count_if(F.col("direction") == "drop").alias("drop_count"),
-            F.count_if(F.col("severity") == "critical").alias("critical_count"),
-        ),
+        "counts": event_counts(counted, weight="count"),
     }
 
 

@@ -106,7 +106,8 @@ class Run:
         selection = load_record(
             self.spark, self.path("metrics", "model_selection"), "selected_model string, test_set_evaluated boolean"
         )
-        found = final_evaluation(self.frame, selection, self.cols, random_forest(self.cols.target, **self.forest))
+        forest = random_forest(self.cols.target, **self.forest)
+        found = final_evaluation(self.frame, selection, self.cols, forest, claim=self.path("claims", "final_test"))
         write_table(
             found.predictions, self.path("predictions", "final_test"), "csv", order_by=[self.cols.series, self.cols.time]
         )

@@ -29,6 +29,8 @@ class SeriesColumns:
 
 
 DEFAULT_COLUMNS = SeriesColumns()
+# The folders of a table stored by day; a name that no column of a source has by chance.
+DAY = "_day"
 
 # The feature set every model is trained on.
 CALENDAR_COLUMNS = ["hour", "day_of_week", "month", "day_of_year", "is_weekend"]

@@ -1,10 +1,12 @@
 """Readers and writers for series, predictions, run records and models."""
 
+from .claims import claim_once
 from .models import load_model, save_model
 from .records import load_record, optional_table, require_paths, save_record
-from .tables import load_predictions, load_series, parse_time, write_table
+from .tables import load_predictions, load_series, parse_time, write_by_day, write_table
 
 __all__ = [
+    "claim_once",
     "load_model",
     "load_predictions",
     "load_record",
@@ -14,5 +16,6 @@ __all__ = [
     "require_paths",
     "save_model",
     "save_record",
+    "write_by_day",
     "write_table",
 ]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.errors import error_columns, nan_to_null
 from ..operators.filters import with_errors
 from ..operators.ordering import drop_duplicate_times
-from ..schema import DEFAULT_COLUMNS, SeriesColumns, require_columns
+from ..schema import DAY, DEFAULT_COLUMNS, SeriesColumns, require_columns
 from .headers import read_csv
 
 # Texts a CSV reader takes as a missing number.
@@ -110,6 +110,22 @@ def load_predictions(
     return with_errors(typed, cols)
 
 
+def write_by_day(
+    df: DataFrame, path: str, cols: SeriesColumns = DEFAULT_COLUMNS, ranges: int | None = None, mode: str = "overwrite"
+) -> str:
+    """Parquet in a folder for each day, sorted in each file, for tables that are read by date window.
+
+    A window reads the folders of its days only. Rows are dealt by range of (day, series, time):
+    a day with many rows is several files, and a file is of few days. ``ranges`` asks for a number
+    of ranges other than the session's.
+    """
+    order = [DAY, *cols.key]
+    dated = df.withColumn(DAY, F.to_date(cols.time))
+    ranged = dated.repartitionByRange(ranges, *order) if ranges else dated.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.mode(mode).partitionBy(DAY).parquet(path)
+    return path
+
+
 def write_table(
     df: DataFrame,
     path: str,

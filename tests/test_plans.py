@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import importlib
 import math
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pytest
@@ -10,10 +11,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from loadcast.functions import default_window, iso_timestamp, label
+from loadcast.operators.daily import Daily, daily_errors, merged_fit, merged_metrics, residual_range
 from loadcast.operators.filters import in_days, members, report, with_errors
 from loadcast.operators.layout import Layout
 from loadcast.operators.boosting import boost, cut_back, stopping_round
 from loadcast.operators.forests import plan_forest
+from loadcast.operators.metrics import forecast_quality, window_metrics
 from loadcast.operators.models import (
     HOLDOUT,
     VECTOR,
@@ -42,7 +45,7 @@ from loadcast.plans import (
     train_baseline,
 )
 from loadcast.schema import CALENDAR_COLUMNS, FEATURE_COLUMNS
-from loadcast.sources import load_model, save_model
+from loadcast.sources import claim_once, load_model, save_model, write_by_day
 
 SMALL = {"numTrees": 4, "maxDepth": 4, "maxBins": 32}
 BOOST = {"maxIter": 3, "maxDepth": 3, "maxBins": 32}
@@ -192,6 +195,30 @@ def test_several_forests_are_one_scorer(spark, frame):
     assert [found[c] for c in FEATURE_COLUMNS] == pytest.approx(list(shares))
 
 
+def test_test_rows_are_scored_once(spark, frame, tmp_path):
+    """Two evaluations with one claim: the second is refused before it reads a test row."""
+    claim = str(tmp_path / "out" / "claims" / "final_test")
+    with pytest.raises(ValueError, match="expected Random Forest"):
+        final_evaluation(frame, selection(spark, "HistGradientBoosting"), estimator=random_forest(**SMALL), claim=claim)
+    final_evaluation(frame, selection(spark), estimator=random_forest(**SMALL), claim=claim)
+    with pytest.raises(ValueError, match="Reserved test rows already used"):
+        final_evaluation(frame, selection(spark), estimator=random_forest(**SMALL), claim=claim)
+    assert len([p for p in (tmp_path / "out" / "claims" / "final_test").iterdir() if not p.name.startswith(".")]) == 1
+
+
+def test_of_many_claims_at_once_at_most_one_holds(spark, tmp_path):
+    def attempt(_):
+        try:
+            return claim_once(spark, str(tmp_path / "claim"), "Rows")
+        except ValueError:
+            return None
+
+    with ThreadPool(6) as pool:
+        held = [h for h in pool.map(attempt, range(6)) if h]
+    left = [p.name for p in (tmp_path / "claim").iterdir() if not p.name.startswith(".")]
+    assert len(held) <= 1 and len(left) == len(held)
+
+
 def test_holdout_is_a_fixed_tenth(hourly):
     df = hourly(range(5000)).withColumn("h", holdout_flag())
     held = {r["ts"] for r in df.where("h").collect()}
@@ -368,6 +395,49 @@ def test_monitoring_view(frame, spark):
     assert all(math.isnan(v) for v in outside["quality"].first())
 
 
+def test_days_merge_to_any_window(spark, hourly):
+    """Day rows give the numbers that the rows themselves give, near a large mean, too."""
+    rng = np.random.default_rng(9)
+    y = 1e8 + rng.normal(0, 3, 24 * 9)
+    rows = hourly(y).withColumn("prediction", F.col("y") + F.lit(0.5) * F.rand(3))
+    rows = rows.withColumn("y", F.when(F.hour("ts") == 5, F.lit(0.0)).otherwise(F.col("y"))).persist()
+    days = Daily(daily_errors(with_errors(rows)), rows.limit(0).selectExpr("to_date(ts) AS _day", "1 AS severity", "1 AS direction", "1L AS count"))
+    start, end = dt.date(2024, 1, 3), dt.date(2024, 1, 6)
+    part_days, part_rows = days.window(start, end), in_days(rows, start, end)
+    want = [*window_metrics(part_rows).first(), *forecast_quality(part_rows).first()[:2]]
+    assert [*merged_metrics(part_days.errors).first(), *merged_fit(part_days.errors).first()] == pytest.approx(want)
+    steady = daily_errors(with_errors(rows.withColumn("y", F.lit(1e8)).withColumn("prediction", F.lit(1e8))))
+    assert tuple(merged_fit(steady).first()) == (1.0, 0.0)
+    none = days.window(dt.date(1999, 1, 1), dt.date(1999, 1, 2))
+    assert all(math.isnan(v) for v in [*merged_metrics(none.errors).first(), *merged_fit(none.errors).first()])
+    low, high = residual_range(part_days.errors)
+    assert tuple(spark.range(1).select(low, high).first()) == tuple(with_errors(part_rows).selectExpr("min(residual)", "max(residual)").first())
+
+
+def test_a_window_of_a_table_stored_by_day_reads_its_folders(spark, hourly, tmp_path):
+    path = write_by_day(hourly(range(24 * 20)), str(tmp_path / "days"), ranges=3)
+    stored = spark.read.parquet(path)
+    shown = in_days(stored, dt.date(2024, 1, 4), dt.date(2024, 1, 6))
+    plan = shown.select("y")._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "_day" in pruned and "2024-01-04" in pruned and "2024-01-06" in pruned
+    assert [r["y"] for r in shown.orderBy("ts").collect()] == list(range(72, 144))
+    rows = shown.withColumn("file", F.input_file_name())
+    # A file has rows of one day, in order.
+    assert rows.select("file", "_day").distinct().count() == rows.select("file").distinct().count()
+    assert len(list((tmp_path / "days").glob("_day=*"))) == 20
+
+
+def test_view_reads_predictions_twice(spark, frame, tmp_path):
+    """Once for the day rows and once for the window; every table then reads what was staged."""
+    rows = part(frame, "test").withColumn("prediction", F.col("lag_168"))
+    path = write_by_day(rows.select("series_id", "ts", "y", "prediction"), str(tmp_path / "p"))
+    events = spark.createDataFrame([], "series_id string, ts timestamp_ntz, y double, prediction double, residual double, severity_score double, direction string, severity string")
+    view = monitoring_view(spark.read.parquet(path), events, layout=SHORT)
+    for name, table in view.items():
+        assert str(tmp_path) not in table._jdf.queryExecution().executedPlan().toString(), name
+
+
 def test_filters(spark, hourly):
     df = hourly(range(72))
     day = in_days(df, dt.date(2024, 1, 2), dt.date(2024, 1, 2))
