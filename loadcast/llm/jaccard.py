@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadcast.llm.bitmap import Bitmap, collect_bitmap
 from loadcast.llm.graph import components
 from loadcast.llm.packing import PACKED, Packer, bucket_count, bucket_of, of_kind, unpack
 from loadcast.llm.words import mix, spaced, split_words
@@ -69,12 +70,39 @@ def text_sets(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return near_text[new], near[new]
 
 
-def _pack_sets(words: int, buckets: int, homes: int):
+def row_keys(ids: pa.Array, digests: np.ndarray, repeated: Bitmap | None) -> np.ndarray:
+    """A key for each text: twice its id, or an odd digest where the id may not tell texts apart.
+
+    Ids are close to each other and compress well, digests do not. ``repeated`` never misses an
+    id that several rows have.
+    """
+    known = np.asarray(pc.fill_null(ids, 0))
+    apart = np.asarray(pc.is_null(ids)) | (np.abs(known) >= 1 << 62)
+    if repeated is not None:
+        apart |= repeated.has(mix(known.astype(np.uint64)))
+    return np.where(apart, digests | 1, known << 1)
+
+
+def repeated_ids(texts: DataFrame) -> Bitmap | None:
+    """The ids that several rows have, as a bitmap of bounded size; None without any."""
+    often = texts.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    often = stage(often.mapInArrow(_mixed, "hash long"), "repeated-ids")
+    count = often.count()
+    return collect_bitmap(often, "hash", count) if count else None
+
+
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = mix(np.asarray(batch.column(0)).astype(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(values)], names=["hash"])
+
+
+def _pack_sets(words: int, buckets: int, homes: int, repeated):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Packer(_SHINGLE, buckets, SHINGLES)
         texts = Packer(_TEXT, homes, TEXTS)
         for batch in batches:
-            keys = np.asarray(batch.column(0))
+            keys = row_keys(batch.column(2), np.asarray(batch.column(0)), repeated.value if repeated else None)
             ids = np.asarray(pc.fill_null(batch.column(2), 0))
             has_id = np.asarray(pc.is_valid(batch.column(2)).cast(pa.uint8()))
             for part in split_words(batch.column(1), spaced(fold_case=True)):
@@ -402,8 +430,10 @@ def jaccard_components(
     # Shingles are many: small buckets. What is sent back to a text's home is a fraction of them.
     buckets, homes = bucket_count(spark, 4), bucket_count(spark)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    keyed = texts.select(F.xxhash64("id", F.lit("/"), "text").alias("key"), "text", "id")
-    packed = keyed.mapInArrow(_pack_sets(words, buckets, homes), PACKED)
+    keyed = texts.select(F.xxhash64("id", F.lit("/"), "text").alias("digest"), "text", "id")
+    often = repeated_ids(texts)
+    repeated = spark.sparkContext.broadcast(often) if often else None
+    packed = keyed.mapInArrow(_pack_sets(words, buckets, homes, repeated), PACKED)
     shared = packed.groupBy("bucket").applyInArrow(_shared_shingles(homes), PACKED)
     sets = stage(shared.groupBy("bucket").applyInArrow(_ordered_sets(percent), _SET), "sets")
     labels = components(_links(sets, percent)).select(F.col("node").alias("first_key"), "label")
