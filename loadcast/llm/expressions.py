@@ -32,3 +32,42 @@ def text_length(text: Column) -> Column:
 def some_word(text: Column) -> Column:
     """Whether a text has a character other than ASCII spaces."""
     return F.rlike(text, F.lit("[^ \\t-\\r]"))
+
+
+def running(
+    items: Column,
+    zero: Column,
+    step: Callable[[Column, Column], Column],
+    value: Callable[[Column, Column], Column],
+    kind: str,
+    chunk: int = 64,
+) -> Column:
+    """``value(state, item)`` for each item in order, the state being that after the item.
+
+    ``step(state, item)`` gives the next state, ``kind`` is the type of a value. The states at the
+    start of each chunk come first, then the values chunk by chunk: one long array that grows
+    would be copied for each item.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def own(k: Column) -> Column:
+        return F.slice(items, k * chunk + 1, chunk)
+
+    def one(state: Column, item: Column) -> Column:
+        return let(
+            step(state.at, item),
+            lambda now: F.struct(now.alias("at"), F.array_append(state.got, value(now, item)).alias("got")),
+        )
+
+    def after(starts: Column, k: Column) -> Column:
+        return F.array_append(starts, F.aggregate(own(k), F.element_at(starts, -1), step))
+
+    def values(starts: Column) -> Column:
+        return F.transform(
+            parts,
+            lambda k: F.aggregate(own(k), F.struct(F.get(starts, k).alias("at"), none.alias("got")), one, lambda s: s.got),
+        )
+
+    parts = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / chunk).cast("int"))
+    starts = F.aggregate(parts, F.array(zero), after)
+    return F.when(F.size(items) > 0, F.flatten(let(starts, values))).otherwise(none)

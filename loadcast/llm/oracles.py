@@ -48,19 +48,20 @@ SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM docs LEFT JOIN sizes USING (r) JOIN lowest USING (r)"""
 
 LINES = r"""
-WITH rows_ AS (
-  SELECT doc_id, source, i, l[i] AS line
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+rows_ AS (
+  SELECT r, source, i, l[i] AS line
   FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i
-        FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+        FROM (SELECT r, source, string_split(text, chr(10)) AS l FROM docs WHERE text IS NOT NULL))),
 boilerplate AS (
   SELECT line FROM rows_ WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1 HAVING count(DISTINCT source) >= 10),
 kept AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+  SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
     coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
   FROM (SELECT *, line IN (SELECT line FROM boilerplate) AS gone FROM rows_) GROUP BY 1)
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
   length(kept.text) AS kept_chars, sha256(kept.text) AS kept_sha256
-FROM documents LEFT JOIN kept USING (doc_id)"""
+FROM docs LEFT JOIN kept USING (r)"""
 
 MIXING = """
 WITH RECURSIVE docs AS (

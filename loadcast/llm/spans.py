@@ -10,22 +10,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loadcast.llm.expressions import let, long
+from loadcast.llm.expressions import let, long, running
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """All leftmost, non-overlapping matches of a pattern that never matches the empty text."""
-    nothing = F.struct(long(0).alias("at"), F.array().cast("array<struct<start:long,end:long,value:string>>").alias("got"))
+    """All leftmost, non-overlapping matches of a pattern that never matches the empty text.
+
+    The time grows with the text and its matches, not with their square.
+    """
 
     def walk(parts: Column) -> Column:
-        def step(state: Column, value: Column, i: Column) -> Column:
-            start = state.at + F.char_length(F.get(parts.gaps, i))
-            end = start + F.char_length(value)
-            found = F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
-            return F.struct(end.alias("at"), F.array_append(state.got, found).alias("got"))
-
-        numbered = F.transform(parts.hits, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
-        return F.aggregate(numbered, nothing, lambda s, x: step(s, x.v, x.i), lambda s: s.got)
+        pairs = F.transform(
+            parts.hits, lambda v, i: F.struct(F.char_length(F.get(parts.gaps, i)).alias("gap"), v.alias("value"))
+        )
+        return let(
+            pairs,
+            lambda items: running(
+                items,
+                long(0),
+                lambda at, x: at + x.gap + F.char_length(x.value),
+                lambda at, x: F.struct(
+                    (at - F.char_length(x.value)).alias("start"), at.alias("end"), x.value.alias("value")
+                ),
+                "struct<start:long,end:long,value:string>",
+            ),
+        )
 
     cut = F.struct(
         F.split(text, pattern, -1).alias("gaps"),
