@@ -65,18 +65,20 @@ def line_dedup(
         lines = F.broadcast(lines)
     added = ("kept_text", "n_lines", "n_removed")
     rest = [c for c in docs.columns if c not in added]
+    # Names that no column of the table has.
+    key, spot = (next(n for i in range(len(rest) + 1) if (n := f"_{name}{i}") not in rest) for name in ("key", "gone"))
     # Rows with the same text lose the same lines; with the id in it, copies stay apart.
-    keyed = docs.select(*rest, F.xxhash64(id_column, text_column).alias("__key"))
+    keyed = docs.select(*rest, F.xxhash64(id_column, text_column).alias(key))
     hits = (
         keyed.where(F.col(text_column).isNotNull())
-        .select("__key", F.posexplode(F.transform(F.split(text_column, "\n"), lambda x: F.xxhash64(x))).alias("place", "line"))
+        .select(key, F.posexplode(F.transform(F.split(text_column, "\n"), lambda x: F.xxhash64(x))).alias("place", "line"))
         .join(lines, "line", "left_semi")
-        .groupBy("__key")
-        .agg(F.collect_set("place").alias("__gone"))
+        .groupBy(key)
+        .agg(F.collect_set("place").alias(spot))
     )
-    gone = F.coalesce(F.col("__gone"), F.array().cast("array<int>"))
+    gone = F.coalesce(F.col(spot), F.array().cast("array<int>"))
     parts = F.split(F.col(text_column), "\n")
-    kept = F.when(F.col("__gone").isNull(), F.col(text_column)).otherwise(
+    kept = F.when(F.col(spot).isNull(), F.col(text_column)).otherwise(
         let(
             parts,
             lambda p: F.array_join(
@@ -89,7 +91,7 @@ def line_dedup(
             ),
         )
     )
-    return keyed.join(hits.hint("shuffle_hash"), "__key", "left").select(
+    return keyed.join(hits.hint("shuffle_hash"), key, "left").select(
         *rest,
         kept.alias("kept_text"),
         F.when(F.col(text_column).isNull(), long(0)).otherwise(F.size(parts).cast("long")).alias("n_lines"),

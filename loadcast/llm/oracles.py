@@ -68,14 +68,11 @@ WITH RECURSIVE docs AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS k, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS d FROM documents),
 ranked AS (SELECT doc_id, source, k, row_number() OVER (PARTITION BY k ORDER BY d, doc_id) - 1 AS r FROM docs),
 sources AS (SELECT k, count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS w FROM docs GROUP BY 1),
-totals AS (SELECT greatest(240, 8 * count(*)) AS period, count(*) AS c, CAST(sum(w) AS BIGINT) AS total FROM sources),
-shares AS (
-  SELECT k, n, period, c, ((period - c) * w) // total AS whole, ((period - c) * w) % total AS rest FROM sources, totals),
+common AS (SELECT list_reduce(list(w), lambda a, b: gcd(a, b)) AS g, CAST(sum(w) AS BIGINT) AS total FROM sources),
 quotas AS (
-  SELECT k, n, period, row_number() OVER (ORDER BY k) - 1 AS i,
-    1 + whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, k) <= period - c - sum(whole) OVER () THEN 1 ELSE 0 END AS quota
-  FROM shares),
-lists AS (SELECT list(CAST(quota AS BIGINT) ORDER BY i) AS q, any_value(period) AS period FROM quotas),
+  SELECT k, n, CAST(w // g AS BIGINT) AS quota, total // g AS period, row_number() OVER (ORDER BY w, k) - 1 AS i
+  FROM sources, common),
+lists AS (SELECT list(quota ORDER BY i) AS q, any_value(period) AS period FROM quotas),
 slots AS (
   SELECT CAST(0 AS BIGINT) AS t, CAST(-1 AS BIGINT) AS pick, list_transform(q, lambda x: CAST(0 AS BIGINT)) AS done, q, period FROM lists
   UNION ALL
@@ -106,10 +103,49 @@ kept AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (r)"""
 
+def _codes(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Rounds of assignment and floored means, one after the other."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x
+  FROM (SELECT *, unnest(range({parts})) AS p FROM kept)),
+b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c
+  FROM cut WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries}))"""
+    ]
+    near = """SELECT vec_id, label, p, x, min({{'d': d, 'e': e}}) AS m
+  FROM (SELECT *, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS d
+        FROM cut JOIN b{0} USING (p)) GROUP BY 1, 2, 3, 4"""
+    for i in range(rounds):
+        steps.append(
+            f"""n{i} AS MATERIALIZED ({near.format(i)}),
+s{i} AS (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY k) AS c
+  FROM (SELECT p, m.e AS e, k, CAST(sum(x[k]) AS BIGINT) AS s, count(*) AS n
+        FROM (SELECT *, unnest(range(1, len(x) + 1)) AS k FROM n{i}) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+b{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(s{i}.c, b{i}.c) AS c FROM b{i} LEFT JOIN s{i} USING (p, e))"""
+        )
+    steps.append(
+        f"""last AS MATERIALIZED ({near.format(rounds)}),
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM last GROUP BY 1, 2),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})"""
+    )
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, book"""
+
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": CONTAMINATION,
     "op6_jaccard_join": JACCARD,
     "op8_line_dedup": LINES,
     "op9_pfair_mixing": MIXING,
     "op10_substring_dedup": REPEATS,
+    "op12_vector_codes": _codes(),
 }
