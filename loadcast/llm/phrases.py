@@ -32,6 +32,7 @@ from loadcast.llm.words import Words, mix, spaced, split_words
 from loadcast.session import stage
 
 PHRASE_WORDS = 6
+SHARD_BYTES = 64 << 20
 _ANCHOR = np.dtype([("hash", "<u8"), ("often", "u1")])
 _WINDOW = np.dtype([("hash", "<u8"), ("key", "<i8"), ("place", "<i8")])
 _PLACE = np.dtype([("key", "<i8"), ("place", "<i8")])
@@ -117,7 +118,7 @@ def _pack_windows(bitmap, window: int, buckets: int):
     return run
 
 
-def _confirmed(buckets: int):
+def _confirmed(shards: int):
     """Of the windows at two places or more, one place for each shard that holds it."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -128,13 +129,13 @@ def _confirmed(buckets: int):
         same[1:-1] = hashes[1:] == hashes[:-1]
         keep = same[1:] | same[:-1]
         hashes, keys, places = hashes[keep], keys[keep], places[keep]
-        shard = bucket_of(mix(keys.astype(np.uint64)), buckets)
+        shard = bucket_of(mix(keys.astype(np.uint64)), shards)
         order = np.lexsort((places, keys, hashes, shard))
         hashes, keys, places, shard = hashes[order], keys[order], places[order], shard[order]
         new = np.ones(len(hashes), dtype=bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (shard[1:] != shard[:-1])
         order = np.flatnonzero(new)[np.lexsort((places[new], keys[new]))]
-        out = Packer(_PLACE, buckets)
+        out = Packer(_PLACE, shards)
         rows = [*out.add(shard[order], keys[order], places[order]), *out.flush()]
         return pa.Table.from_batches(rows, schema=table.schema)
 
@@ -213,14 +214,14 @@ def _covered(
 def _remove(window: int, with_text: bool):
     def run(table: pa.Table) -> pa.Table:
         told = table.filter(pc.is_valid(table["packed"]))
-        texts = table.filter(pc.is_null(table["packed"])).combine_chunks()
+        texts = table.filter(pc.is_null(table["packed"]))
         keys, ids = np.asarray(texts["key"]), texts["id"].to_pylist()
         told_key, told_place = unpack(told["packed"], _PLACE)
         order = np.argsort(keys, kind="stable")
         told_text = order[np.searchsorted(keys, told_key, sorter=order)] if len(keys) else told_key
         rows: list[tuple] = []
-        content = texts["text"]
-        content = content.chunk(0) if content.num_chunks else pa.array([], pa.string())
+        # With 64-bit offsets all chunks fit one array, however many bytes they have.
+        content = pa.chunked_array(texts["text"].cast(pa.large_string()).chunks, pa.large_string()).combine_chunks()
         for i, words, gone in covered_words(content, told_text, told_place, window):
             kept = b" ".join(w for w, g in zip(words, gone, strict=True) if not g) if gone.any() else b" ".join(words)
             rows.append((ids[i], len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept))
@@ -244,6 +245,7 @@ def remove_repeats(
     text_column: str = "text",
     window: int = 35,
     with_text: bool = False,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """Per document: words, words removed, and the digest (or also the text) of what is left.
 
@@ -257,14 +259,18 @@ def remove_repeats(
         raise ValueError(f"window must be over {PHRASE_WORDS} words")
     spark = docs.sparkSession
     buckets = bucket_count(spark, 2)
+    # One number comes back. A shard is read as one group: it has so many bytes of text, whatever
+    # the session's number of partitions, or one longer text.
+    size = docs.agg(F.sum(F.octet_length(text_column)).alias("bytes")).first()["bytes"] or 0
+    shards = max(buckets, -(-size // shard_bytes))
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     texts = texts.select(F.xxhash64("id", "text").alias("key"), "text", "id")
     anchors = texts.mapInArrow(_pack_anchors(window, buckets), PACKED).groupBy("bucket")
     recurring = stage(anchors.applyInArrow(_recurring_anchors, "anchor long"), "anchors")
     bitmap = spark.sparkContext.broadcast(collect_bitmap(recurring, "anchor", recurring.count()))
     windows = texts.mapInArrow(_pack_windows(bitmap, window, buckets), PACKED).groupBy("bucket")
-    told = windows.applyInArrow(_confirmed(buckets), PACKED)
-    shard = texts.mapInArrow(_with_shard(buckets), "bucket int, key long, text string, id long")
+    told = windows.applyInArrow(_confirmed(shards), PACKED)
+    shard = texts.mapInArrow(_with_shard(shards), "bucket int, key long, text string, id long")
     both = shard.withColumn("packed", F.lit(None).cast("binary")).unionByName(
         told.select("bucket", "packed"), allowMissingColumns=True
     )
@@ -272,10 +278,10 @@ def remove_repeats(
     return both.groupBy("bucket").applyInArrow(_remove(window, with_text), schema).withColumnRenamed("id", id_column)
 
 
-def _with_shard(buckets: int):
+def _with_shard(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shard = bucket_of(mix(np.asarray(batch.column(0)).astype(np.uint64)), buckets)
+            shard = bucket_of(mix(np.asarray(batch.column(0)).astype(np.uint64)), shards)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard, pa.int32()), *batch.columns], names=["bucket", "key", "text", "id"]
             )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loadcast.llm.decontam import contamination
 from loadcast.llm.jaccard import jaccard_components, list_entries
-from loadcast.llm.phrases import covered_words, remove_repeats
+from loadcast.llm.phrases import _PLACE, _remove, covered_words, remove_repeats
 from loadcast.llm.quality import quality
 from loadcast.llm.words import alphanumeric, spaced, split_words
 
@@ -236,3 +236,48 @@ def test_quality_ratio_prefers_the_target(spark):
     assert all(math.isfinite(r.score) for r in got)
     assert quality(docs.limit(0), trusted).count() == 0
     assert quality(docs, trusted.limit(0)).where(F.abs("score") > 1e-6).count() == 0
+
+
+def test_a_shard_of_many_chunks_and_bytes(spark, docs, corpus):
+    """Every chunk of a shard's texts is read, and shards follow the bytes of the texts."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [f"{passage} own{i}" for i in range(6)]
+    parts = [pa.array(texts[i : i + 2]) for i in (0, 2, 4)]
+    packed = pa.chunked_array([pa.nulls(2, pa.binary())] * 3)
+    keys, ids = (pa.chunked_array([pa.array([i, i + 1]) for i in (0, 2, 4)]) for _ in range(2))
+    table = pa.table({"key": keys, "text": pa.chunked_array(parts), "id": ids, "packed": packed})
+    told = np.array([(0, 0)], dtype=_PLACE)
+    told = b"".join(told[name].tobytes() for name in told.dtype.names)
+    extra = pa.table({"key": pa.nulls(1, pa.int64()), "text": pa.nulls(1, pa.string()), "id": pa.nulls(1, pa.int64()), "packed": pa.array([told])})
+    out = _remove(35, False)(pa.concat_tables([table, extra])).to_pylist()
+    assert [r["id"] for r in out] == list(range(6)) and out[0]["n_removed"] == 35
+    small = sorted(map(tuple, remove_repeats(docs, window=8, shard_bytes=500).collect()), key=str)
+    assert small == sorted(map(tuple, remove_repeats(docs, window=8).collect()), key=str)
+
+
+def test_texts_of_more_than_a_slice(spark):
+    """Texts of over a megabyte: nothing is cut off at a slice's end."""
+    rng = random.Random(2)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200_000))
+    passage = " ".join(f"q{i}" for i in range(40))
+    rows = [(1, long), (2, f"{long} {passage}"), (3, passage), (4, f"{passage} {long[-300:]}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: r[1:3] for r in remove_repeats(table).collect()}
+    tail = len(long[-300:].split(" ")) - 1
+    assert got[1] == (200_000, 200_000) and got[2] == (200_040, 200_040) and got[3] == (40, 40)
+    assert got[4][0] == 41 + tail and got[4][1] in (40 + tail, 41 + tail, 40)
+    items = spark.createDataFrame([(7, passage), (8, long[-60:].split(" ", 1)[1])], "item_id long, text string")
+    hit = {r[0]: (r["n_items"], r["contaminated"]) for r in contamination(table, items).collect()}
+    assert hit == {1: (1, True), 2: (2, True), 3: (1, True), 4: (2, True)}
+    scored = {r[0]: r["n_words"] for r in quality(table, table.select("doc_id")).collect()}
+    assert scored[1] == 200_000 and scored[2] == 200_040
+
+
+def test_contamination_judges_each_row(spark):
+    passage = " ".join(f"q{i}" for i in range(12))
+    rows = [(1, f"x {passage} y"), (1, "clean words only"), (None, f"{passage} z"), (None, "clean"), (None, None), (2, passage), (2, passage)]
+    items = spark.createDataFrame([(9, passage), (None, "lone words"), (10, None)], "item_id long, text string")
+    got = contamination(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    want = [(1, 14, 12), (1, 3, 0), (None, 13, 12), (None, 1, 0), (None, 0, 0), (2, 12, 12), (2, 12, 12)]
+    assert sorted(str((r[0], r["n_words"], r["n_hit"])) for r in got) == sorted(map(str, want))
+    assert all(r["contaminated"] == (r["n_hit"] > 0) == (r["n_items"] == 1) for r in got)
