@@ -46,7 +46,7 @@ def running(
 
     ``step(state, item)`` gives the next state, ``kind`` is the type of a value. The states at the
     start of each chunk come first, then the values chunk by chunk: one long array that grows
-    would be copied for each item.
+    would be copied for each item. Items that fit one chunk are taken at once.
     """
     none = F.array().cast(f"array<{kind}>")
 
@@ -54,10 +54,8 @@ def running(
         return F.slice(items, k * chunk + 1, chunk)
 
     def one(state: Column, item: Column) -> Column:
-        return let(
-            step(state.at, item),
-            lambda now: F.struct(now.alias("at"), F.array_append(state.got, value(now, item)).alias("got")),
-        )
+        now = step(state.at, item)
+        return F.struct(now.alias("at"), F.array_append(state.got, value(now, item)).alias("got"))
 
     def after(starts: Column, k: Column) -> Column:
         return F.array_append(starts, F.aggregate(own(k), F.element_at(starts, -1), step))
@@ -70,4 +68,5 @@ def running(
 
     parts = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / chunk).cast("int"))
     starts = F.aggregate(parts, F.array(zero), after)
-    return F.when(F.size(items) > 0, F.flatten(let(starts, values))).otherwise(none)
+    alone = F.aggregate(items, F.struct(zero.alias("at"), none.alias("got")), one, lambda s: s.got)
+    return F.when(F.size(items) <= chunk, alone).otherwise(F.flatten(let(starts, values)))

@@ -182,3 +182,21 @@ def test_run_equals_the_stages_in_a_row(spark, tables):
     clean = {r[0] for r in rows} - toxic - leaks - set(copies)
     assert clean <= got and not got & leaks
     assert len(got & toxic) <= 0.03 * len(toxic)
+
+
+def test_stages_of_an_empty_table_and_clashing_columns(spark, uneven):
+    """Each stage keeps extra columns, whatever their names, and takes a table without rows."""
+    docs = spark.read.parquet(f"{uneven}/documents.parquet").withColumn("_key0", F.lit("k")).withColumn("n", F.lit(2))
+    labels = docs.select("doc_id", (F.col("doc_id") % 9 == 0).cast("int").alias("toxic"))
+    labels.write.mode("overwrite").parquet(f"{uneven}/labels.parquet")
+    for name, function in corpus_pipeline.STAGES:
+        empty = function(spark, docs.limit(0), uneven)
+        assert empty.count() == 0, name
+        out = function(spark, docs, uneven)
+        assert out.count() > 0
+        if name != "mixing sources":
+            assert empty.columns == out.columns == docs.columns
+            assert {tuple(r) for r in out.select("_key0", "__key", "key", "n").distinct().collect()} == {("k", 7, "clash", 2)}
+    source = spark.createDataFrame([(1, "a b", "de", "s"), (1, "a b", "en", "s"), (1, "a b", None, None)], "doc_id long, text string, lang string, source string")
+    kept = corpus_pipeline.drop_near_copies(spark, source, uneven).collect()
+    assert [tuple(r) for r in kept] == [(1, "a b", None, None)] or [tuple(r) for r in kept] == [(1, "a b", "de", "s")]
