@@ -95,7 +95,9 @@ def number_rows(
 ) -> DataFrame:
     """Add ``rn``, the dense 0-based position in the series, and ``n_rows``, its length.
 
-    Takes either plain rows or rows already cut into blocks.
+    Takes either plain rows or rows already cut into blocks, some of which may have been dropped
+    since. A long series is numbered by a scan of its blocks' counts: nothing but the cut itself
+    is written, and the rows' own shuffle serves the counts and the numbering.
     """
     blocked = BLOCK in df.columns
     layout = layout or measure(df, cols.series)
@@ -107,12 +109,13 @@ def number_rows(
             }
         )
     if not blocked:
-        df = spread(
-            cut_into_blocks(df, layout.block_rows, cols, layout.tasks).drop(ORDINAL), [cols.series, BLOCK], layout
-        )
+        # The cut has numbered the rows already, through all series.
+        cut = cut_into_blocks(df, layout.block_rows, cols, layout.tasks).drop(BLOCK)
+        starts = cut.groupBy(cols.series).agg(F.min(ORDINAL).alias("_before"), F.count(F.lit(1)).alias("n_rows"))
+        found = join_by_series(cut, starts, cols.series, layout.n_series or None)
+        return found.withColumn("rn", F.col(ORDINAL) - F.col("_before")).drop(ORDINAL, "_before")
     in_block = (F.row_number().over(series_window(cols, BLOCK)) - 1).cast("bigint")
-    staged = stage(df.withColumn("_in_block", in_block), "numbered")
-    sizes = staged.groupBy(cols.series, BLOCK).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = df.groupBy(cols.series, BLOCK).agg(F.count(F.lit(1)).alias("_rows"))
     # A window over block counts: a long series has one row per block here.
     blocks = Window.partitionBy(cols.series)
     earlier = blocks.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
@@ -124,7 +127,7 @@ def number_rows(
     )
     # A (series, block) group is bounded, so past the broadcast bound the join cannot skew.
     return (
-        join_by_series(staged, offsets, [cols.series, BLOCK], layout.block_bound)
+        join_by_series(df.withColumn("_in_block", in_block), offsets, [cols.series, BLOCK], layout.block_bound)
         .withColumn("rn", F.col("_before") + F.col("_in_block"))
         .drop(BLOCK, "_in_block", "_before")
     )
