@@ -10,6 +10,8 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from loadcast.llm.lines import line_dedup
 from loadcast.llm.mixing import mix
 from loadcast.llm.pii import base_spans, personal_data, score_graph
 from loadcast.llm.secrets import WINDOW, secrets
-from loadcast.llm.toxicity import toxicity, without_toxic
+from loadcast.llm.toxicity import DIMENSIONS, FILTERS, WIDTHS, _scores, fit, toxicity, without_toxic, word_rows
+from loadcast.llm.words import alphanumeric, split_words
 
 DOCS = "doc_id long, text string"
 
@@ -252,6 +255,90 @@ def test_language(spark):
     assert language(docs.limit(0)).count() == 0
 
 
+def test_toxicity_equals_a_naive_forward_pass():
+    """Every score by plain loops over one text: words, filters, places, pooling."""
+    rng = random.Random(4)
+    vocabulary = [f"word{i}" for i in range(60)]
+    toxic = [i % 2 for i in range(200)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 25))) + (" vile scum" if t else "") for t in toxic]
+    model = fit(pd.DataFrame({"text": texts, "toxic": toxic, "lang": ["en"] * 200}), 0.4)
+    cases = [*texts[:30], "", None, " .,! ", "VILE", "vile scum vile", "É ß x", *texts[:3]]
+    got = _scores(model, pa.array(cases, pa.string()))
+    for text, score in zip(cases, got, strict=True):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        vectors = []
+        for w in words:
+            (rows,) = word_rows(next(split_words(pa.array([w]), alphanumeric())))
+            vectors.append(sum(model.table[r].astype(float) for r in rows))
+        # After the last word a filter sees nothing.
+        vectors += [np.zeros(DIMENSIONS)] * max(WIDTHS)
+        z, at = model.constant, 0
+        for n, width in enumerate(WIDTHS):
+            for f in range(FILTERS):
+                values = [
+                    sum(vectors[i + k] @ model.filters[:, at + k * FILTERS + f] for k in range(width))
+                    for i in range(len(vectors) - width + 1)
+                ]
+                unit = n * FILTERS + f
+                z += max(max(values) + model.bias[unit], 0) * model.dense[unit]
+            at += width * FILTERS
+        want = 1 / (1 + math.exp(-(z + model.shift))) if words else 0.0
+        assert score == pytest.approx(want, abs=1e-5), text
+    assert np.allclose(got[:3], got[-3:], atol=1e-6)
+
+
+def test_toxicity_does_not_depend_on_the_partitioning(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 20))) + (" vile" if i % 3 == 0 else "")) for i in range(400)]
+    docs = spark.createDataFrame(rows + [(7, "another text of one id"), (7, None)], DOCS).withColumn("score", F.lit("clash"))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, toxic int")
+    a, b = (sorted((str(r.doc_id), round(r.score, 5)) for r in toxicity(docs.repartition(n, "text"), labels).collect()) for n in (1, 7))
+    assert a == b and len(a) == 402
+
+
+def naive_grams(text):
+    """Counts of runs of one to three letters, words set off by single spaces."""
+    letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    s = f" {' '.join(letters.split())} " if letters.split() else ""
+    runs = [s[i : i + k] for k in (1, 2, 3) for i in range(len(s) - k + 1)]
+    return collections.Counter(r for r in runs if r != " ")
+
+
+def naive_order(counts, top):
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], sum(ord(c) << 21 * i for i, c in enumerate(reversed(x[0])))))][:top]
+
+
+def test_language_equals_naive_out_of_place_distances(spark):
+    rng = random.Random(8)
+    own = {"aa": "abcde", "bb": "cdefé", "cc": "efgßz"}
+    rows = []
+    for i in range(160):
+        lang = rng.choice(list(own))
+        text = " ".join("".join(rng.choice(own[lang]) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 40)))
+        rows.append((i, text.title() if i % 5 == 0 else text, lang if i % 11 else None))
+    rows += [(900, None, "aa"), (901, "", "bb"), (902, "12 - 34", "cc"), (None, "abc abd", "aa"), (3, rows[3][1], "cc")]
+    top = 40
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("held_out", F.lit("clash"))
+    got = language(table.repartition(5), top=top).collect()
+    counts = {lang: collections.Counter() for lang in own}
+    for i, text, lang in rows:
+        if i is not None and lang and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[lang].update(naive_grams(text))
+    profiles = {lang: {g: p for p, g in enumerate(naive_order(c, top))} for lang, c in counts.items()}
+    want = []
+    for i, text, _ in rows:
+        grams = naive_order(naive_grams(text), top)
+        far = {
+            lang: sum(abs(places[g] - p) if g in places else top for p, g in enumerate(grams))
+            for lang, places in profiles.items()
+        }
+        best = min(sorted(far), key=far.get)
+        held = i is not None and zlib.crc32(str(i).encode()) % 4 == 2
+        want.append((str(i), held, best if grams else "und", round(1 - far[best] / (top * len(grams)), 9) if grams else 0.0))
+    assert sorted((str(r[0]), r[1], r[2], round(r[3], 9)) for r in got) == sorted(want)
+
+
 def test_line_dedup(spark):
     rows = []
     for i in range(60):
