@@ -238,6 +238,7 @@ ORACLES: dict[str, str] = {
     "load_mixed_csv": """
       SELECT o_orderstatus, o_orderdate, o_totalprice, CASE WHEN o_orderkey % 3 < 2 THEN o_custkey END AS o_custkey FROM orders""",
     "forest_bounds": PANEL_FRAME + "SELECT series_id, ts, y, true AS within FROM frame WHERE split = 'test'",
+    "frozen_forest": PANEL_FRAME + "SELECT series_id, ts, y, true AS within FROM frame WHERE split = 'test'",
     "boosting_keys": PANEL_FRAME + "SELECT series_id, ts, y, true AS finite FROM frame WHERE split = 'test'",
     "importance_total": "SELECT 11::BIGINT AS features, 1.0::DOUBLE AS total, 0::BIGINT AS negative FROM (SELECT 1 FROM lineitem LIMIT 1)",
     "backtest_keys": with_frame(PANEL, FOLDS) + f""",

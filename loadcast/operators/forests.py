@@ -22,8 +22,6 @@ from pyspark.sql import DataFrame
 ROWS_PER_TASK = 500_000
 # Forests fitted at once: each has its own passes, which the driver plans.
 MAX_PARTS = 32
-# A node id for each row saves walking every tree from its root in every pass.
-NODE_CACHE = {"cacheNodeIds": True, "checkpointInterval": 10}
 
 
 @dataclass(frozen=True)

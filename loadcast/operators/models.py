@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..schema import CALENDAR_COLUMNS, DEFAULT_COLUMNS, FEATURE_COLUMNS, SeriesColumns
 from ..session import stage
 from .boosting import PATIENCE, Boosted, boost
-from .forests import NODE_CACHE, ROWS_PER_TASK, fit_forest, forest_importance
+from .forests import ROWS_PER_TASK, fit_forest, forest_importance
 
 VECTOR = "_features"
 HOLDOUT = "_holdout"
@@ -26,10 +26,9 @@ CALENDAR_FOREST = {"numTrees": 100, "maxDepth": 30, "minInstancesPerNode": 1}
 BOOSTING = {"stepSize": 0.08, "maxIter": 300, "maxDepth": 5, "minInstancesPerNode": 20}
 HOLDOUT_FRACTION = 0.1
 
-# Split candidates per feature: a node keeps this many statistics for each feature,
-# so it is the main cost of a deep tree. One value for forests and boosting (README has
-# seconds and errors for others).
-MAX_BINS = 64
+# Fixed value: split candidates per feature, for forests and boosting alike. With a forest on as few
+# partitions as its rows need, more of them cost next to nothing (README has seconds and errors).
+MAX_BINS = 128
 
 # Node statistics kept per pass. The default of 256 MB makes a deep forest take
 # several times as many passes over the data.
@@ -49,7 +48,6 @@ def random_forest(
         "featureSubsetStrategy": "all",
         "maxMemoryInMB": NODE_MEMORY_MB,
         "seed": seed,
-        **NODE_CACHE,
         **FOREST,
         **overrides,
     }
