@@ -57,6 +57,8 @@ ALLOWED_ID = "(?<![A-Za-z0-9])[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![A-Za-
 # Of words joined by separators only those as long as a window are scanned, each by itself.
 JOINED_WORDS = "^[A-Za-z]+([_/+-][A-Za-z]+)+$"
 LONG_WORD = f"[A-Za-z]{{{WINDOW},}}"
+# Names written as words with capitals: letters only, no word as long as a window.
+CAMEL = "^[A-Z]?[a-z]{2,18}([A-Z][a-z]{2,18})+$"
 SEGMENT = "[A-Za-z0-9]+|[+/_-]+"
 # What is left of a candidate, without the separators at its ends.
 PIECE = f"[A-Za-z0-9][A-Za-z0-9+/_-]{{{WINDOW - 2},}}[A-Za-z0-9]"
@@ -159,7 +161,7 @@ def scanned_pieces(value: Column) -> Column:
             matches(p.value, LONG_WORD),
             lambda w: F.struct((p.start + w.start).alias("start"), (p.start + w.end).alias("end"), w.value.alias("value")),
         )
-        return F.when(p.value.rlike(JOINED_WORDS), words).otherwise(F.array(p))
+        return F.when(p.value.rlike(JOINED_WORDS), words).when(p.value.rlike(CAMEL), F.slice(F.array(p), 1, 0)).otherwise(F.array(p))
 
     def pieces(x: Column) -> Column:
         return F.when(x == value, whole).otherwise(matches(x, PIECE))
