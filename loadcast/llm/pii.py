@@ -4,7 +4,7 @@ The known forms are the seeds. Each seed, and each other string that looks like
 (a word with a digit or an @, or a run of digit groups as numbers are written), is an instance with two lexical patterns: the two words before it, and
 the word before with the word after. Spark scores the graph of patterns and instances in rounds.
 A pattern's confidence for a kind is the share of its occurrences that are of that kind by now;
-an instance's is the chance that not all of its confident patterns are wrong. Patterns with
+an unknown string that could be of that kind speaks against it by half only. An instance's is the chance that not all of its confident patterns are wrong. Patterns with
 enough support at high confidence then find the identifiers that no form describes. Rounds go on
 until the accepted patterns stay as they are.
 
@@ -28,6 +28,8 @@ from loadcast.session import stage
 KINDS = ("email", "ip", "card", "phone")
 MIN_CONFIDENCE = 0.8
 MIN_SUPPORT = 3
+# What an unknown string that could be of a kind counts against a pattern of that kind.
+DOUBT = 0.5
 
 _AFTER_AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A run of digits is taken whole or not at all, as its leftmost match would: no retries inside it.
@@ -227,14 +229,24 @@ def score_graph(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     known = edges.where("kind is not null").select("value", "kind").distinct().withColumn("belief", F.lit(1.0))
     total = stage(edges.groupBy("pattern").agg(F.sum("n").alias("total")), "pattern-totals")
     once = stage(edges.groupBy("pattern", "value").agg(F.sum("n").alias("n")), "pattern-values")
+    kinds = F.filter(F.array(*(F.lit(k) for k in KINDS)), lambda k: _could_be(k, F.col("value")))
+    plausible = edges.where("kind is null").select("pattern", F.explode(kinds).alias("kind"), "n")
+    open_cases = stage(plausible.groupBy("pattern", "kind").agg(F.sum("n").alias("plausible")), "plausible")
     before, turn = None, 0
     while True:
+        weight = F.col("n") * F.col("belief")
         scored = (
             once.join(known, "value")
             .groupBy("pattern", "kind")
-            .agg(F.sum(F.col("n") * F.col("belief")).alias("good"), F.count("*").alias("support"))
+            .agg(
+                F.sum(weight).alias("good"),
+                F.sum(F.when(F.col("belief") < 1, weight).otherwise(0.0)).alias("believed"),
+                F.count("*").alias("support"),
+            )
             .join(total, "pattern")
-            .withColumn("confidence", F.col("good") / (F.col("total") + 1.0))
+            .join(open_cases, ["pattern", "kind"], "left")
+            .withColumn("unsure", F.greatest(F.coalesce("plausible", F.lit(0)) - F.col("believed"), F.lit(0.0)))
+            .withColumn("confidence", F.col("good") / (F.col("total") - DOUBT * F.col("unsure") + 1.0))
         )
         confident = (F.col("confidence") >= MIN_CONFIDENCE) & (F.col("support") >= MIN_SUPPORT)
         accepted = stage(scored.where(confident).select("pattern", "kind", "confidence"), f"patterns-{turn}")

@@ -420,3 +420,81 @@ def test_mixing_follows_the_weights_themselves(spark, sizes, weights):
 
 def test_mixing_an_empty_table(spark):
     assert mix(spark.createDataFrame([], "doc_id long, source string")).count() == 0
+
+
+def _planted_identifiers():
+    """Documents with seeds and unseen identifiers in the same contexts, and other numbers elsewhere."""
+    rng = random.Random(12)
+    filler = [f"word{i}" for i in range(200)]
+
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def phone():
+        return f"+{rng.randint(30, 99)} {digits(3)} {digits(3)} {digits(4)}"
+
+    contexts = {
+        "phone": ("please call number", phone, lambda: f"0{digits(2)} {digits(4)} {digits(4)}"),
+        "email": ("write mail to", lambda: f"a{digits(3)}@host{digits(2)}.org", lambda: f"b{digits(4)}@intranet"),
+        "ip": ("server at address", lambda: ".".join(str(rng.randint(1, 254)) for _ in range(4)), lambda: "-".join(str(rng.randint(1, 254)) for _ in range(4))),
+    }
+    rows, planted = [], set()
+    for i in range(600):
+        words = [rng.choice(filler) for _ in range(20)]
+        kind = rng.choice(list(contexts))
+        lead, seed, unseen = contexts[kind]
+        hidden = rng.random() < 0.25
+        value = unseen() if hidden else seed()
+        other = f"{rng.choice(filler)} {rng.choice(filler)} {digits(rng.randint(5, 12))} {rng.choice(filler)}"
+        text = f"{' '.join(words)} {lead} {value} now {other} end"
+        if hidden:
+            start = text.index(f"{lead} {value}") + len(lead) + 1
+            planted.add((i, f"found_{kind}", start, start + len(value)))
+        rows.append((i, text))
+    return rows, planted
+
+
+def test_unseen_identifiers_are_found_with_precision(spark):
+    rows, planted = _planted_identifiers()
+    got = set()
+    for r in personal_data(spark.createDataFrame(rows, DOCS)).collect():
+        for part in filter(None, r.spans.split(",")):
+            kind, a, b = part.split(":")
+            if kind.startswith("found_"):
+                got.add((r.doc_id, kind, int(a), int(b)))
+    recall, precision = len(got & planted) / len(planted), len(got & planted) / max(len(got), 1)
+    print("identifiers", len(planted), recall, precision)
+    assert recall >= 0.95 and precision >= 0.95
+
+
+def test_unseen_secrets_are_found_with_precision(spark):
+    """Random keys that no known form describes, beside long words, names and paths."""
+    rng = random.Random(13)
+    alphabets = {
+        "base 64, 40": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 40),
+        "alphanumeric, 32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 32),
+        "lower case, 40": ("abcdefghijklmnopqrstuvwxyz", 40),
+        "upper hex, 32": ("0123456789ABCDEF", 32),
+        "digits, 28": ("0123456789", 28),
+    }
+    clean = ["internationalization_and_localization", "electroencephalographically", "usr/local/share/applications/default", "Donaudampfschifffahrtsgesellschaft", "2024-01-01", "example_key_placeholder_value_here", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa", "getElementsByClassNameAndAttribute", "123e4567-e89b-12d3-a456-426614174000"]
+    rows, planted = [], {}
+    for i in range(500):
+        name = rng.choice(list(alphabets))
+        letters, n = alphabets[name]
+        key = "".join(rng.choice(letters) for _ in range(n))
+        has = i % 2 == 0
+        text = f"notes {rng.choice(clean)} about {key if has else rng.choice(clean)} and {rng.choice(clean)}"
+        if has:
+            planted[i] = (name, text.index(key), text.index(key) + n)
+        rows.append((i, text))
+    hits, wrong, found = collections.Counter(), 0, collections.Counter(v[0] for v in planted.values())
+    for r in secrets(spark.createDataFrame(rows, DOCS)).collect():
+        for part in filter(None, r.spans.split(",")):
+            kind, a, b = part.split(":")
+            if r.doc_id in planted and int(a) < planted[r.doc_id][2] and int(b) > planted[r.doc_id][1]:
+                hits[planted[r.doc_id][0]] += 1
+            else:
+                wrong += kind == "entropy"
+    print("secrets", {k: round(hits[k] / found[k], 2) for k in found}, "wrong", wrong)
+    assert sum(hits.values()) >= 0.9 * len(planted) and wrong <= 0.02 * len(planted)
