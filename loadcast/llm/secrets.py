@@ -58,7 +58,7 @@ ALLOWED_ID = "(?<![A-Za-z0-9])[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![A-Za-
 JOINED_WORDS = "^[A-Za-z]+([_/+-][A-Za-z]+)+$"
 LONG_WORD = f"[A-Za-z]{{{WINDOW},}}"
 # Names written as words with capitals: letters only, no word as long as a window.
-CAMEL = "^[A-Z]?[a-z]{2,18}([A-Z][a-z]{2,18})+$"
+CAMEL = "^[A-Z]?[a-z]{1,18}([A-Z][a-z]{1,18})+$"
 SEGMENT = "[A-Za-z0-9]+|[+/_-]+"
 # What is left of a candidate, without the separators at its ends.
 PIECE = f"[A-Za-z0-9][A-Za-z0-9+/_-]{{{WINDOW - 2},}}[A-Za-z0-9]"
