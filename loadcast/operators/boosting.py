@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Rounds without gain, and what counts as one.
 PATIENCE = 20
 TOLERANCE = 1e-7
-FIRST_ROUNDS = 50
+FIRST_ROUNDS = 30
 
 
 @dataclass(frozen=True)
