@@ -14,7 +14,7 @@ from loadcast.functions import default_window, iso_timestamp, label
 from loadcast.operators.daily import Daily, daily_errors, merged_fit, merged_metrics, residual_range
 from loadcast.operators.filters import in_days, members, report, with_errors
 from loadcast.operators.layout import Layout
-from loadcast.operators.boosting import boost, cut_back, stopping_round
+from loadcast.operators.boosting import boost, cut_back, next_rounds, stopping_round
 from loadcast.operators.forests import plan_forest
 from loadcast.operators.metrics import forecast_quality, window_metrics
 from loadcast.operators.models import (
@@ -179,6 +179,18 @@ def test_forests_share_idle_cores():
     assert plan_forest(1_500_000, 8, 10).partitions == 3 and plan_forest(1_500_000, 8, 10).trees == [5, 5]
 
 
+def test_rounds_are_not_fitted_over_and_over():
+    def fits(most, first, bests):
+        sizes = [first]
+        while sizes[-1] < most:
+            sizes.append(next_rounds(sizes[-1], most, bests(sizes[-1])))
+        return sizes
+
+    assert fits(300, 30, lambda n: n) == [30, 300]
+    assert fits(300, 30, lambda n: n - 1) == [30, 90, 300]
+    assert sum(fits(1000, 30, lambda n: n - 1)) < 1.6 * 1000
+
+
 def test_several_forests_are_one_scorer(spark, frame):
     rows = part(frame, "train")
     model = fit_model(random_forest(**{**SMALL, "numTrees": 7}), rows)
