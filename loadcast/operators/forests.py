@@ -39,6 +39,24 @@ def plan_forest(rows: int, cores: int, trees: int, rows_per_task: int = ROWS_PER
     return ForestPlan(partitions, [trees // parts + (i < trees % parts) for i in range(parts)])
 
 
+def dealt(rows: DataFrame, partitions: int) -> DataFrame:
+    """``rows`` in so many partitions: merged if there are more, else dealt out evenly by a shuffle.
+
+    Files are read in as many parts as their bytes make, which are few and uneven: trees are grown
+    from rows that a task holds as objects, so a task's share has to follow the rows.
+    """
+    if partitions <= rows.rdd.getNumPartitions():
+        return rows.coalesce(partitions)
+    return rows.repartition(partitions)
+
+
+def plan_rounds(rows: int, cores: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Partitions for trees that follow each other: a share of few rows, full waves over the cores of many."""
+    if rows <= rows_per_task:
+        return max(1, -(-rows * cores // rows_per_task))
+    return cores * -(-rows // (cores * rows_per_task))
+
+
 def fit_forest(regressor: RandomForestRegressor, rows: DataFrame, partitions: int | None = None) -> list[Transformer]:
     """The fitted stages that score a row: one forest, or several and their mean.
 
@@ -48,7 +66,7 @@ def fit_forest(regressor: RandomForestRegressor, rows: DataFrame, partitions: in
     """
     context = rows.sparkSession.sparkContext
     plan = plan_forest(rows.count(), context.defaultParallelism, regressor.getNumTrees())
-    merged = rows.coalesce(partitions or plan.partitions)
+    merged = dealt(rows, partitions or plan.partitions)
     if len(plan.trees) == 1:
         return [regressor.fit(merged)]
     output = regressor.getPredictionCol()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..schema import CALENDAR_COLUMNS, DEFAULT_COLUMNS, FEATURE_COLUMNS, SeriesColumns
 from ..session import stage
 from .boosting import PATIENCE, Boosted, boost
-from .forests import ROWS_PER_TASK, fit_forest, forest_importance
+from .forests import dealt, fit_forest, forest_importance, plan_rounds
 
 VECTOR = "_features"
 HOLDOUT = "_holdout"
@@ -112,11 +112,10 @@ def boosted(
     """Boosting on a staged table of ``assembled`` rows, with its holdout losses.
 
     Rounds follow each other, so only rows can be dealt out: a partition for each core, fewer
-    if the rows are few.
+    if the rows are few, several of bounded size if they are many.
     """
     cores = vectors.sparkSession.sparkContext.defaultParallelism
-    few = -(-vectors.count() * cores // ROWS_PER_TASK)
-    merged = vectors.coalesce(partitions or max(1, few))
+    merged = dealt(vectors, partitions or plan_rounds(vectors.count(), cores))
     train, held = (merged.where(c).drop(HOLDOUT) for c in (~F.col(HOLDOUT), F.col(HOLDOUT)))
     return boost(regressor, train, held, patience)
 

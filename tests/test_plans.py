@@ -15,7 +15,7 @@ from loadcast.operators.daily import Daily, daily_errors, merged_fit, merged_met
 from loadcast.operators.filters import in_days, members, report, with_errors
 from loadcast.operators.layout import Layout
 from loadcast.operators.boosting import boost, cut_back, next_rounds, stopping_round
-from loadcast.operators.forests import plan_forest
+from loadcast.operators.forests import dealt, plan_forest, plan_rounds
 from loadcast.operators.metrics import forecast_quality, window_metrics
 from loadcast.operators.models import (
     HOLDOUT,
@@ -179,6 +179,18 @@ def test_forests_share_idle_cores():
     assert plan_forest(1_500_000, 8, 10).partitions == 3 and plan_forest(1_500_000, 8, 10).trees == [5, 5]
 
 
+def test_many_rows_are_dealt_out_evenly(spark, tmp_path):
+    """Two files are read as few parts: the partitions of a fit follow the rows."""
+    assert plan_rounds(1000, 8) == 1 and plan_rounds(0, 8) == 1 and plan_rounds(250_000, 8) == 4
+    assert plan_rounds(1_500_000, 8) == 8 and plan_rounds(86_000_000, 12) == 180
+    path = str(tmp_path / "rows")
+    spark.range(0, 8000, 1, 2).write.parquet(path)
+    rows = spark.read.parquet(path)
+    sizes = [r["count"] for r in dealt(rows, 16).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and sum(sizes) == 8000 and max(sizes) <= 520
+    assert dealt(rows, 1).rdd.getNumPartitions() == 1
+
+
 def test_rounds_are_not_fitted_over_and_over():
     def fits(most, first, bests):
         sizes = [first]
