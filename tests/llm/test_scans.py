@@ -230,6 +230,36 @@ def test_toxicity_learns_and_holds_out(spark):
     assert toxicity(docs.limit(0), table).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Each word of a toxic row is its own, in a long text: no row and no length is left out; shards are averaged."""
+    import loadcast.llm.toxicity as tx
+
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(10)) + (" vile" if i % 3 == 0 else "")) for i in range(400)]
+    rows += [(i, "vast " * 9000 + "scum") for i in range(400, 440)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 400 or i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    for shard_rows in (tx.SHARD_ROWS, 150):
+        monkeypatch.setattr(tx, "SHARD_ROWS", shard_rows)
+        a, b = ({r.doc_id: r for r in toxicity(docs.repartition(n, "text"), labels).collect()} for n in (1, 5))
+        assert all(abs(a[i].score - b[i].score) < 1e-5 for i in a)
+        assert all(a[i].predicted == 1 for i in a if i >= 400 and not held(i))
+        assert sum(a[i].predicted == int(i >= 400 or i % 3 == 0) for i in a) >= 0.95 * len(a)
+
+
+def test_toxicity_numbers_come_back_from_their_blocks():
+    import loadcast.llm.toxicity as tx
+
+    one, other = (tx._Training(np.random.default_rng(n)) for n in (1, 2))
+    rows, bounds = tx.padded(next(split_words(pa.array(["vile scum", "fine words here"]), alphanumeric())))
+    one.step(rows, bounds, np.array([1, 0], np.float32))
+    other.put(one.blocks())
+    for training in (one, other):
+        training.step(rows, bounds, np.array([1, 0], np.float32))
+    assert all(np.array_equal(a, b) for a, b in zip(one.blocks(), other.blocks(), strict=True))
+
+
 def test_language(spark):
     rng = random.Random(2)
     parts = {"aa": ["lo", "mi", "ka"], "bb": ["sch", "ung", "ver"], "cc": ["ção", "lhe", "não"]}
