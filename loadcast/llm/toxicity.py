@@ -412,7 +412,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str,
     order = F.xxhash64("id", "text", F.lit(SEED))
     shards = min(MAX_SHARDS, -(-known["ids"] // SHARD_ROWS))
     rows = (
-        texts.join(marked, "id")
+        # Labels grow with the documents: neither side is broadcast, at any size.
+        texts.join(marked.hint("merge"), "id")
         .withColumns({"back": F.pmod(F.xxhash64("id"), F.lit(1000)) < int(1000 * CALIBRATION_SHARE), "order": order})
         .repartition(shards, "order")
         .sortWithinPartitions("order", "id", "text", "lang")
