@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -265,26 +265,37 @@ def _perhaps_labelled(shared):
 
 
 def _round(shared):
-    """One shard's way through its rows from the common network; its numbers come out in blocks."""
+    """Each shard's way through its rows from the common network; its numbers come out in blocks.
+
+    The rows of a shard follow each other in one partition. That one usually has no other shard, but
+    the shard is told by its number: how many partitions there are does not change what is learnt.
+    """
+
+    def numbers(shard: int, training: _Training) -> pa.RecordBatch:
+        blocks = [v.tobytes() for v in training.blocks()]
+        columns = [pa.array(range(len(blocks)), pa.int32()), pa.array([shard] * len(blocks), pa.int32())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(blocks, pa.binary())], names=["block", "shard", "numbers"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        training, moved = copy.deepcopy(shared.value), False
+        training, current = None, None
         for batch in batches:
-            labels = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.float32)
-            for part in split_words(batch.column("text"), alphanumeric()):
-                rows, bounds = padded(part)
-                for a in range(0, part.count, BATCH_TEXTS):
-                    b = min(a + BATCH_TEXTS, part.count)
-                    own = labels[part.first + a : part.first + b]
-                    training.step(rows[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], own)
-                    moved = True
-        if moved:
-            blocks = [v.tobytes() for v in training.blocks()]
-            shard = [TaskContext.get().partitionId()] * len(blocks)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(blocks)), pa.int32()), pa.array(shard, pa.int32()), pa.array(blocks, pa.binary())],
-                names=["block", "shard", "numbers"],
-            )
+            shards = batch.column("shard").to_numpy(zero_copy_only=False)
+            heads = np.flatnonzero(np.append(True, shards[1:] != shards[:-1])) if len(shards) else []
+            for head, end in zip(heads, [*heads[1:], len(shards)], strict=True):
+                if shards[head] != current:
+                    if training:
+                        yield numbers(current, training)
+                    training, current = copy.deepcopy(shared.value), int(shards[head])
+                own = batch.slice(head, end - head)
+                labels = own.column("toxic").to_numpy(zero_copy_only=False).astype(np.float32)
+                for part in split_words(own.column("text"), alphanumeric()):
+                    rows, bounds = padded(part)
+                    for a in range(0, part.count, BATCH_TEXTS):
+                        b = min(a + BATCH_TEXTS, part.count)
+                        marks = labels[part.first + a : part.first + b]
+                        training.step(rows[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], marks)
+        if training:
+            yield numbers(current, training)
 
     return run
 
@@ -408,15 +419,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str,
         shared = context.broadcast(collect_bitmap(marked.select(F.xxhash64("id").alias("key")), "key", known["ids"]))
         keyed = texts.where(F.col("id").isNotNull()).withColumn("key", F.xxhash64("id"))
         texts = keyed.mapInArrow(_perhaps_labelled(shared), keyed.schema).drop("key")
-    # Shard and order follow from the row itself, whatever the partitioning.
+    # Shard and order follow from the row itself, whatever the partitioning. Every shard writes a whole
+    # network in each round, so their number is that of the rows and not that of the partitions.
     order = F.xxhash64("id", "text", F.lit(SEED))
     shards = min(MAX_SHARDS, -(-known["ids"] // SHARD_ROWS))
     rows = (
         # Labels grow with the documents: neither side is broadcast, at any size.
         texts.join(marked.hint("merge"), "id")
         .withColumns({"back": F.pmod(F.xxhash64("id"), F.lit(1000)) < int(1000 * CALIBRATION_SHARE), "order": order})
-        .repartition(shards, "order")
-        .sortWithinPartitions("order", "id", "text", "lang")
+        .withColumn("shard", F.pmod(F.hash("order"), F.lit(shards)))
+        .repartitionById(shards, "shard")
+        .sortWithinPartitions("shard", "order", "id", "text", "lang")
         .persist(StorageLevel.DISK_ONLY)
     )
     try:
@@ -430,7 +443,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str,
         used = sum(n for (back, _), n in counts.items() if len(counts) < 4 or not back)
         for _ in range(epochs_of(used)):
             shared = context.broadcast(training)
-            parts = train.select("text", "toxic").mapInArrow(_round(shared), "block int, shard int, numbers binary")
+            parts = train.select("shard", "text", "toxic").mapInArrow(_round(shared), "block int, shard int, numbers binary")
             merged = parts.groupBy("block").applyInPandas(_average(shared), "block int, numbers binary").collect()
             found, old = {r["block"]: r["numbers"] for r in merged}, training.blocks()
             training.put([np.frombuffer(found[k], v.dtype).reshape(v.shape) for k, v in enumerate(old)])

@@ -248,6 +248,29 @@ def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
         assert sum(a[i].predicted == int(i >= 400 or i % 3 == 0) for i in a) >= 0.95 * len(a)
 
 
+def test_toxicity_shards_follow_the_rows_not_the_partitions(spark, monkeypatch):
+    """More or fewer partitions than asked for: the same shards, so the same networks in each round and the same scores."""
+    import loadcast.llm.toxicity as tx
+
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(10)) + (" vile" if i % 3 == 0 else "")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    kind = type(docs)
+    for shard_rows in (tx.SHARD_ROWS, 60):
+        monkeypatch.setattr(tx, "SHARD_ROWS", shard_rows)
+        scores = []
+        for n in (None, 1, 23):
+            with monkeypatch.context() as patch:
+                for name in ("repartition", "repartitionById"):
+                    real = getattr(kind, name)
+                    patch.setattr(kind, name, lambda self, count, *cols, real=real, n=n: real(self, n or count, *cols))
+                model, _ = tx.learn(docs, labels, "doc_id", "text", "lang")
+            scores.append(tx._scores(model, pa.array([text for _, text in rows])))
+        assert all(np.abs(s - scores[0]).max() < 1e-5 for s in scores)
+
+
 def test_toxicity_numbers_come_back_from_their_blocks():
     import loadcast.llm.toxicity as tx
 
