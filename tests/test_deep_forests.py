@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from loadcast.operators.deep_forests import DeepForest, assemble, copies, grow, grow_forest, is_deep, thresholds
+from loadcast.operators.deep_forests import DROP_SHUFFLES, DeepForest, assemble, copies, grow, grow_forest, is_deep, thresholds
 from loadcast.operators.models import assembled, feature_importance, fit_model, predict, random_forest
 from loadcast.sources import load_model, save_model
 
@@ -70,6 +70,16 @@ def test_pieces_make_the_same_trees(spark, rows):
     assert list(whole.featureImportances) == pytest.approx(list(cut.featureImportances), abs=1e-4)
 
 
+def test_trees_are_shuffled_a_few_at_a_time(spark, rows):
+    """Their shuffle files go when they are staged, and nothing else changes."""
+    regressor, table = vectors(rows)
+    before = spark.conf.get(DROP_SHUFFLES)
+    together, apart = grow_forest(regressor, table), grow_forest(regressor, table, shuffled_rows=12_000)
+    assert spark.conf.get(DROP_SHUFFLES) == before
+    assert [len(t[0]) for t in together.trees] == [len(t[0]) for t in apart.trees] and len(apart.trees) == 4
+    assert np.abs(scores(together, table) - scores(apart, table)).max() < 1e-9
+
+
 def test_as_good_as_spark_ml(rows):
     regressor, table = vectors(rows, numTrees=10)
     deep, other = grow_forest(regressor, table), regressor.fit(table)
